@@ -62,16 +62,18 @@ def prefix_scan(
     part = keys + [BLK]
     wb = Window.partitionBy(*part).orderBy(*order_cols)
     wrun = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.struct(*[F.col(c) for c in order_cols])
 
-    d = df.withColumn(BLK, block_of(order, block_days))
+    # One shuffle on (keys, block). Both the window below and the block aggregate find
+    # their input already partitioned, so the exchange is written once and read twice.
+    d = df.withColumn(BLK, block_of(order, block_days)).repartition(*part)
 
-    # --- 1. in-block running state (one shuffle on keys + block) -------------------------
-    inner: list[Column] = [
-        F.row_number().over(wb).alias("_rf_rn"),
-        F.lead(F.col(order)).over(wb).alias("_rf_lead"),
-    ]
+    # --- 1. in-block running state ------------------------------------------------------
+    inner: list[Column] = []
+    if prev:
+        inner.append(F.row_number().over(wb).alias("_rf_rn"))
     if next_order:
-        inner.append(F.first(F.col(order)).over(wrun).alias("_rf_first"))
+        inner.append(F.lead(F.col(order)).over(wb).alias("_rf_lead"))
     for i, c in enumerate(cols):
         x = F.col(c)
         if prev:
@@ -85,22 +87,24 @@ def prefix_scan(
             inner.append((F.var_pop(xd).over(wrun) * F.count(xd).over(wrun)).alias(f"_rf{i}_q"))
     scanned = d.select("*", *inner)
 
-    # --- 2. one row per block (its last row) -> exclusive prefix over blocks -------------
-    summary_cols: list[Column] = [F.col(k) for k in part]
+    # --- 2. one row per block from plain aggregates -> exclusive prefix over blocks ------
+    aggs: list[Column] = []
     if next_order:
-        summary_cols.append(F.col("_rf_first"))
+        aggs.append(F.min(F.col(order)).alias("_rf_first"))
     for i, c in enumerate(cols):
+        x = F.col(c)
         if prev:
-            summary_cols.append(F.col(c).alias(f"_rf{i}_last"))
+            aggs.append(F.max_by(x, pos).alias(f"_rf{i}_last"))
         if ffill:
-            summary_cols.append(F.col(f"_rf{i}_f").alias(f"_rf{i}_bf"))
+            aggs.append(F.max_by(x, F.when(x.isNotNull(), pos)).alias(f"_rf{i}_bf"))
         if moments:
-            summary_cols += [
-                F.col(f"_rf{i}_n").alias(f"_rf{i}_bn"),
-                F.coalesce(F.col(f"_rf{i}_m"), F.lit(0.0)).alias(f"_rf{i}_bm"),
-                F.coalesce(F.col(f"_rf{i}_q"), F.lit(0.0)).alias(f"_rf{i}_bq"),
+            xd = x.cast("double")
+            aggs += [
+                F.count(xd).alias(f"_rf{i}_bn"),
+                F.coalesce(F.avg(xd), F.lit(0.0)).alias(f"_rf{i}_bm"),
+                F.coalesce(F.var_pop(xd) * F.count(xd), F.lit(0.0)).alias(f"_rf{i}_bq"),
             ]
-    blocks = scanned.filter(F.col("_rf_lead").isNull()).select(*summary_cols)
+    blocks = d.groupBy(*part).agg(*aggs)
 
     wp = Window.partitionBy(*keys).orderBy(BLK) if keys else Window.orderBy(BLK)
     wex = wp.rowsBetween(Window.unboundedPreceding, -1)
@@ -127,13 +131,13 @@ def prefix_scan(
 
     # --- 3. join the carried state back (big side keeps its partitioning) ----------------
     j = scanned.join(prefix, on=part, how="left")
-    first_in_block = F.col("_rf_rn") == 1
     out: list[Column] = []
     if next_order:
         out.append(F.coalesce(F.col("_rf_lead"), F.col("_rf_cnext")).alias("__next"))
     for i, c in enumerate(cols):
         if prev:
-            out.append(F.when(first_in_block, F.col(f"_rf{i}_cp")).otherwise(F.col(f"_rf{i}_p")).alias(f"{c}__prev"))
+            out.append(F.when(F.col("_rf_rn") == 1, F.col(f"_rf{i}_cp")).otherwise(F.col(f"_rf{i}_p"))
+                       .alias(f"{c}__prev"))
         if ffill:
             out.append(F.coalesce(F.col(f"_rf{i}_f"), F.col(f"_rf{i}_cf")).alias(f"{c}__ffill"))
         if moments:
@@ -155,3 +159,58 @@ def prefix_scan(
             sd = F.when(total >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (total - 1)))
             out.append(sd.alias(f"{c}__sd"))
     return j.select(*[F.col(c) for c in df.columns], *out)
+
+
+def plain_scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str | Sequence[str],
+    cols: Sequence[str],
+    *,
+    prev: bool = False,
+    ffill: bool = False,
+    moments: bool = False,
+    next_order: bool = False,
+) -> DataFrame:
+    """Same output as ``prefix_scan`` with one unblocked window per series.
+
+    For inputs whose window partitions are bounded by construction, e.g. a wide table with
+    one row per calendar date: one shuffle, no block summary and no join.
+    """
+    keys = list(keys)
+    order_cols = [order] if isinstance(order, str) else list(order)
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order_cols)
+    wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out: list[Column] = []
+    if next_order:
+        out.append(F.lead(F.col(order_cols[0])).over(w).alias("__next"))
+    for c in cols:
+        x = F.col(c)
+        if prev:
+            out.append(F.lag(x).over(w).alias(f"{c}__prev"))
+        if ffill:
+            out.append(F.last(x, ignorenulls=True).over(wrun).alias(f"{c}__ffill"))
+        if moments:
+            out.append(F.stddev_samp(x.cast("double")).over(wrun).alias(f"{c}__sd"))
+    return df.select("*", *out)
+
+
+def scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str | Sequence[str],
+    cols: Sequence[str],
+    *,
+    block_days: int | None = None,
+    **what: bool,
+) -> DataFrame:
+    """``plain_scan`` when ``block_days`` is None, else ``prefix_scan`` with that block size.
+
+    With unique ``(keys, date)`` a series window holds at most one row per day of its span
+    (about 36,500 rows a century), whatever the raw volume, so the plain per-series window
+    is bounded and is the default. Blocks split a series over several tasks: for a few
+    very long series, or inputs not yet reduced to one row per day.
+    """
+    if block_days is None:
+        return plain_scan(df, keys, order, cols, **what)
+    return prefix_scan(df, keys, order, cols, block_days=block_days, **what)

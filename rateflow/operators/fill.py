@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateflow.operators.blocks import prefix_scan
+from rateflow.operators.blocks import scan
 
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
@@ -58,19 +58,19 @@ def spine_left_join(df: DataFrame, keys=("series_id",), date: str = "date", valu
 
 
 def forward_fill(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
-                 out: str | None = None, block_days: int = 366) -> DataFrame:
+                 out: str | None = None, block_days: int | None = None) -> DataFrame:
     """``COALESCE(v, LAST_VALUE(v IGNORE NULLS) OVER (ROWS UNBOUNDED PRECEDING))`` per series.
 
     NULL is missing; 0 is a value and is carried. Leading NULLs stay NULL.
     """
     keys = _keys(keys)
     out = out or value
-    s = prefix_scan(df, keys, date, [value], block_days=block_days, ffill=True)
+    s = scan(df, keys, date, [value], block_days=block_days, ffill=True)
     return s.withColumn(out, F.col(f"{value}__ffill")).drop(f"{value}__ffill")
 
 
 def forward_fill_nonzero(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
-                         out: str | None = None, block_days: int = 366,
+                         out: str | None = None, block_days: int | None = None,
                          tiebreak: str | None = None) -> DataFrame:
     """Forward fill where both NULL *and 0* are missing (the array UDF's rule), as double.
 
@@ -82,7 +82,7 @@ def forward_fill_nonzero(df: DataFrame, keys=("series_id",), date: str = "date",
     tmp = "_rf_valid"
     valid = F.when(F.col(value).isNotNull() & (F.col(value) != 0), F.col(value).cast("double"))
     order = [date] if tiebreak is None else [date, tiebreak]
-    s = prefix_scan(df.withColumn(tmp, valid), keys, order, [tmp], block_days=block_days, ffill=True)
+    s = scan(df.withColumn(tmp, valid), keys, order, [tmp], block_days=block_days, ffill=True)
     return s.withColumn(out, F.col(f"{tmp}__ffill")).drop(tmp, f"{tmp}__ffill")
 
 
@@ -92,7 +92,7 @@ def gap_fill(
     date: str = "date",
     value: str = "value",
     missing: str = "zero",
-    block_days: int = 366,
+    block_days: int | None = None,
 ) -> DataFrame:
     """Complete daily grid per series with forward fill.
 
@@ -108,7 +108,7 @@ def gap_fill(
     if missing == "zero":
         v = F.coalesce(v, F.lit(0).cast(df.schema[value].dataType))
     obs = df.select(*keys, F.col(date), v.alias(value))
-    s = prefix_scan(obs, keys, date, [value], block_days=block_days, ffill=True, next_order=True)
+    s = scan(obs, keys, date, [value], block_days=block_days, ffill=True, next_order=True)
     end = F.when(F.col("__next").isNull(), F.col(date)).otherwise(
         F.greatest(F.col(date), F.date_sub(F.col("__next"), 1))
     )

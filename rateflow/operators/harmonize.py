@@ -51,7 +51,7 @@ def harmonize(
     date: str = "date",
     value: str = "value",
     out_date: str = "date",
-    block_days: int = 366,
+    block_days: int | None = None,
 ) -> DataFrame:
     """Harmonized wide table. ``fill=True`` gap-fills every series in its own span first
     (daily); otherwise the observations are taken as they are (monthly). ``missing='zero'``
@@ -77,7 +77,7 @@ def combined_currency(
     date: str = "date",
     value: str = "value",
     freq: str = "freq",
-    block_days: int = 366,
+    block_days: int | None = None,
 ) -> DataFrame:
     """One table over all frequencies, one column per currency.
 

@@ -13,29 +13,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.numeric import abs_pct_change_expr, stddev_to_fixed
-from rateflow.operators.blocks import prefix_scan
+from rateflow.operators.blocks import plain_scan, prefix_scan, scan
 from rateflow.operators.fill import _keys
 
 
 def lag_value(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
-              out: str = "prev_value", block_days: int = 366) -> DataFrame:
+              out: str = "prev_value", block_days: int | None = None) -> DataFrame:
     """``LAG(value, 1) OVER (PARTITION BY keys ORDER BY date)``; NULL on the first row."""
-    s = prefix_scan(df, _keys(keys), date, [value], block_days=block_days, prev=True)
+    s = scan(df, _keys(keys), date, [value], block_days=block_days, prev=True)
     return s.withColumnRenamed(f"{value}__prev", out)
 
 
 def expanding_stddev(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
-                     out: str = "stddev_value", block_days: int = 366) -> DataFrame:
+                     out: str = "stddev_value", block_days: int | None = None) -> DataFrame:
     """``STDDEV_SAMP(value) OVER (PARTITION BY keys ORDER BY date)`` (expanding, double)."""
-    s = prefix_scan(df, _keys(keys), date, [value], block_days=block_days, moments=True)
+    s = scan(df, _keys(keys), date, [value], block_days=block_days, moments=True)
     return s.withColumnRenamed(f"{value}__sd", out)
 
 
 def abs_pct_change(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
                    out: str = "rate_change_percent", precision: int = 10, scale: int = 4,
-                   block_days: int = 366) -> DataFrame:
+                   block_days: int | None = None) -> DataFrame:
     """Absolute percent change to the previous row; 0 on the first row and after NULL/0."""
-    s = prefix_scan(df, _keys(keys), date, [value], block_days=block_days, prev=True)
+    s = scan(df, _keys(keys), date, [value], block_days=block_days, prev=True)
     return s.withColumn(out, abs_pct_change_expr(value, f"{value}__prev", precision, scale)).drop(
         f"{value}__prev"
     )
@@ -43,16 +43,16 @@ def abs_pct_change(df: DataFrame, keys=("series_id",), date: str = "date", value
 
 def volatility(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
                out: str = "volatility", precision: int = 10, scale: int = 4,
-               block_days: int = 366) -> DataFrame:
+               block_days: int | None = None) -> DataFrame:
     """Expanding sample deviation of the level, NULL -> 0, fixed point."""
-    s = prefix_scan(df, _keys(keys), date, [value], block_days=block_days, moments=True)
+    s = scan(df, _keys(keys), date, [value], block_days=block_days, moments=True)
     return s.withColumn(out, stddev_to_fixed(f"{value}__sd", precision, scale)).drop(f"{value}__sd")
 
 
 def series_metrics(df: DataFrame, keys=("series_id",), date: str = "date", value: str = "value",
-                   precision: int = 10, scale: int = 4, block_days: int = 366) -> DataFrame:
+                   precision: int = 10, scale: int = 4, block_days: int | None = None) -> DataFrame:
     """Change and volatility per series in one pass (long layout)."""
-    s = prefix_scan(df, _keys(keys), date, [value], block_days=block_days, prev=True, moments=True)
+    s = scan(df, _keys(keys), date, [value], block_days=block_days, prev=True, moments=True)
     return s.select(
         *df.columns,
         abs_pct_change_expr(value, f"{value}__prev", precision, scale).alias("rate_change_percent"),
@@ -66,7 +66,7 @@ def wide_metrics(
     cols: Sequence[str],
     precision: int = 10,
     scale: int = 4,
-    block_days: int = 366,
+    block_days: int | None = None,
     change_prefix: str = "rate_change_percent_",
     vol_prefix: str = "volatility_",
 ) -> DataFrame:
@@ -75,9 +75,17 @@ def wide_metrics(
 
     Windows run over the union of dates in the wide table, so a series is NULL outside its
     own span: its change there is 0 and its volatility keeps the last value.
+
+    A wide table has one row per calendar date (about 365 a year) whatever the volume of
+    raw data behind it, so by default one ordered window runs over it: one shuffle, no
+    join. ``block_days`` switches to the blocked scan for very long date grids.
     """
     cols = list(cols)
-    s = prefix_scan(wide.select(date, *cols), [], date, cols, block_days=block_days, prev=True, moments=True)
+    if block_days is None:
+        s = plain_scan(wide.select(date, *cols), [], date, cols, prev=True, moments=True)
+    else:
+        s = scan(wide.select(date, *cols), [], date, cols, block_days=block_days, prev=True,
+                        moments=True)
     return s.select(
         date,
         *cols,

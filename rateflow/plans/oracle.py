@@ -308,6 +308,9 @@ FROM (SELECT series_id, lo, unnest(generate_series(0, date_diff('day', lo, hi)))
         "gap_fill": filled_sql("zero"),
         "gap_fill_null": filled_sql("null"),
         "series_metrics": filled_sql("null", long_metrics_select("g")),
+        "gap_fill_blocked": filled_sql("zero"),
+        "series_metrics_blocked": filled_sql("null", long_metrics_select("g")),
+        "daily_metrics_blocked": metrics_sql("DAILY"),
         "harmonize_daily": harmonized_sql("DAILY"),
         "harmonize_monthly": harmonized_sql("MONTHLY"),
         "daily_metrics": metrics_sql("DAILY"),

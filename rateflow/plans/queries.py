@@ -434,6 +434,26 @@ def series_metrics_q(spark, sf):
     return series_metrics(_filled(spark, sf, "null"))
 
 
+# The same operators on the blocked prefix scan (a series split over yearly blocks).
+BLOCK_DAYS = 366
+
+
+def gap_fill_blocked(spark, sf):
+    return gap_fill(_sparse(spark, sf), ["series_id"], "date", "value", missing="zero", block_days=BLOCK_DAYS)
+
+
+def series_metrics_blocked(spark, sf):
+    filled = gap_fill(_sparse(spark, sf), ["series_id"], "date", "value", missing="null", block_days=BLOCK_DAYS)
+    return series_metrics(filled, block_days=BLOCK_DAYS)
+
+
+def daily_metrics_blocked(spark, sf):
+    obs = _daily(spark, sf)
+    wide = harmonize(obs, DAILY.ids, DAILY.convert, fill=True, missing="zero", out_date="DDATE",
+                     block_days=BLOCK_DAYS)
+    return wide_metrics(wide, "DDATE", DAILY.rates, block_days=BLOCK_DAYS)
+
+
 def usd_conversion_q(spark, sf):
     obs = null_to_zero(_daily(spark, sf), "value")
     return obs.select("series_id", "date", "value", usd_conversion("value").alias("value_converted"))
@@ -638,6 +658,9 @@ QUERIES: dict[str, Query] = {
     "gap_fill": gap_fill_q,
     "gap_fill_null": gap_fill_null,
     "series_metrics": series_metrics_q,
+    "gap_fill_blocked": gap_fill_blocked,
+    "series_metrics_blocked": series_metrics_blocked,
+    "daily_metrics_blocked": daily_metrics_blocked,
     "harmonize_daily": harmonize_daily,
     "harmonize_monthly": harmonize_monthly,
     "daily_metrics": daily_metrics,

@@ -17,7 +17,7 @@ from rateflow.streaming.consume import BatchFn, consume
 
 
 def refresh_batch(spark: SparkSession, raw_path: str, metrics_path: str, missing: str = "zero",
-                  block_days: int = 366) -> BatchFn:
+                  block_days: int | None = None) -> BatchFn:
     def run(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch id, overwritten on retry: a replayed batch is not appended twice
         batch.write.mode("overwrite").partitionBy("series_id").parquet(f"{raw_path}/batch={batch_id}")
