@@ -1,14 +1,16 @@
 """Incremental metrics refresh from a change stream.
 
 Each micro-batch of new observations is appended to the long raw table; then only the
-series the batch touches are recomputed from the whole raw table (gap fill + metrics) and
-their partitions of the metrics table are overwritten (dynamic partition overwrite). Late
+series buckets the batch touches are recomputed from the whole raw table (gap fill +
+metrics) and their partitions of the metrics table are overwritten (dynamic partition
+overwrite). Late
 rows for an old date are therefore right by construction, and no state store is needed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rateflow.operators.fill import gap_fill
@@ -16,21 +18,37 @@ from rateflow.operators.metrics import series_metrics
 from rateflow.streaming.consume import BatchFn, consume
 
 
+def series_bucket(series: str = "series_id", buckets: int = 16):
+    """Stable hash bucket of a series id: the partition folder of the raw and metrics stores."""
+    return F.pmod(F.xxhash64(F.col(series)), F.lit(buckets)).cast("int")
+
+
 def refresh_batch(spark: SparkSession, raw_path: str, metrics_path: str, missing: str = "zero",
-                  block_days: int | None = None) -> BatchFn:
+                  block_days: int | None = None, buckets: int = 16) -> BatchFn:
+    """Batch function for ``consume``: store the batch, then recompute the touched buckets.
+
+    Both stores are partitioned by a hash bucket of the series id (not by series: millions
+    of series would mean millions of folders). Every series of a touched bucket is
+    recomputed from the whole raw store; the semi join on ``bucket`` lets the scan skip the
+    other bucket folders.
+    """
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        b = batch.withColumn("bucket", series_bucket("series_id", buckets))
         # one folder per batch id, overwritten on retry: a replayed batch is not appended twice
-        batch.write.mode("overwrite").partitionBy("series_id").parquet(f"{raw_path}/batch={batch_id}")
-        touched = batch.select("series_id").distinct()
-        raw = spark.read.parquet(raw_path).select("series_id", "date", "value")
-        # semi join: only the touched series are read back and recomputed
-        sub = raw.join(touched, "series_id", "left_semi")
+        b.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{raw_path}/batch={batch_id}")
+        touched = b.select("bucket").distinct()
+        raw = spark.read.parquet(raw_path).select("bucket", "series_id", "date", "value")
+        sub = raw.join(touched, "bucket", "left_semi").drop("bucket")
         filled = gap_fill(sub, ["series_id"], "date", "value", missing=missing, block_days=block_days)
         metrics = series_metrics(filled, ["series_id"], "date", "value", block_days=block_days)
         (
-            metrics.write.mode("overwrite")
+            metrics.withColumn("bucket", series_bucket("series_id", buckets))
+            .repartition("bucket")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("series_id")
+            .partitionBy("bucket")
             .parquet(metrics_path)
         )
 
@@ -46,4 +64,3 @@ def stream_refresh(spark: SparkSession, source: str, schema: StructType, checkpo
 def read_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
     return spark.read.parquet(metrics_path).select("series_id", "date", "value", "rate_change_percent",
                                                    "volatility")
-
