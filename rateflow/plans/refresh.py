@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from rateflow.operators.harmonize import harmonize
 from rateflow.operators.metrics import metrics_skeleton, wide_metrics
 from rateflow.session import shared_dir
-from rateflow.sinks.tables import create_table_as, ensure_layers, guard_tables, null_to_zero, update_from
+from rateflow.sinks.tables import (
+    assert_unique,
+    create_table_as,
+    ensure_layers,
+    guard_tables,
+    null_to_zero,
+    update_from,
+)
 
 
 @dataclass(frozen=True)
@@ -55,12 +62,15 @@ def refresh_metrics(
     freqs: list[Frequency],
     env: str = "dev",
     root: str | None = None,
+    check_unique: bool = True,
 ) -> str:
     """Run the whole refresh; ``raw`` is the long table ``(series_id, freq, date, value)``."""
     root = root or shared_dir(spark, f"{env}-tables")
     ensure_layers(spark, env)
     names = table_names(env)
     raw_t = create_table_as(null_to_zero(raw, "value"), names["raw"], f"{root}/raw", partition_by=["freq"])
+    if check_unique:
+        assert_unique(raw_t, ["series_id"], "date")
     for f in freqs:
         wide, _ = build_metrics(raw_t, f, missing="zero")
         create_table_as(wide, names[f"{f.name}_harmonized"], f"{root}/{f.name.lower()}_harmonized")

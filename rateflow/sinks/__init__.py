@@ -2,6 +2,7 @@
 
 from rateflow.sinks.tables import (
     append_table,
+    assert_unique,
     create_table_as,
     declared_schema_table,
     ensure_layers,
@@ -13,6 +14,7 @@ from rateflow.sinks.files import write_series_csv, write_series_json
 
 __all__ = [
     "append_table",
+    "assert_unique",
     "create_table_as",
     "declared_schema_table",
     "ensure_layers",

@@ -86,6 +86,21 @@ def update_from(target: DataFrame, updates: DataFrame, on: Sequence[str] | str,
     )
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str] = ("series_id",), date: str = "date") -> None:
+    """Fail when a ``(keys, date)`` pair occurs twice: joins would multiply such rows and
+    window order would be unstable. One aggregate job; only a single offending key (at
+    most) reaches the driver."""
+    dup = (
+        df.groupBy(*keys, date)
+        .agg(F.count(F.lit(1)).alias("_rf_n"))
+        .filter(F.col("_rf_n") > 1)
+        .limit(1)
+        .collect()
+    )
+    if dup:
+        raise ValueError(f"duplicate observation for {tuple(dup[0])[:-1]}")
+
+
 def guard_tables(spark: SparkSession, names: Sequence[str]) -> None:
     """Fail when a source table is missing."""
     for name in names:

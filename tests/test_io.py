@@ -72,3 +72,14 @@ def test_tables_roundtrip(spark, tmp):
     assert spark.table("rf_test_obs").count() == 2
     declared = declared_schema_table(spark, "rf_test_decl", "DATE date, VALUE double", f"{tmp}/t2")
     assert declared.dtypes == [("DATE", "date"), ("VALUE", "double")]
+
+
+def test_assert_unique(spark):
+    import pytest
+
+    from rateflow.sinks.tables import assert_unique
+
+    ok = spark.createDataFrame([("A", dt.date(2020, 1, 1)), ("A", dt.date(2020, 1, 2))], "series_id string, date date")
+    assert_unique(ok)
+    with pytest.raises(ValueError):
+        assert_unique(ok.union(ok.limit(1)))
