@@ -1,7 +1,7 @@
 """Long observations -> one wide table per frequency (one column per series).
 
-The default is a single ``groupBy(date).pivot(series, ids)`` (partial aggregation on the map
-side, one shuffle on date). The chain of full outer joins is kept as the literal form; it
+The default is a single ``groupBy(date)`` with one conditional aggregate per series id
+(partial aggregation on the map side, one shuffle on date). The chain of full outer joins is kept as the literal form; it
 gives the same rows when ``(series, date)`` is unique.
 """
 
@@ -19,10 +19,18 @@ from rateflow.operators.fill import gap_fill
 
 def harmonize_pivot(df: DataFrame, ids: Sequence[str], series: str = "series_id", date: str = "date",
                     value: str = "value", out_date: str = "date") -> DataFrame:
-    """Wide table with ``out_date`` and one column per id. Always pass ``ids``: without the
-    list Spark runs an extra job to find the distinct values."""
-    wide = df.groupBy(F.col(date).alias(out_date)).pivot(series, list(ids)).agg(F.first(value))
-    return wide
+    """Wide table with ``out_date`` and one column per id.
+
+    Written as one conditional aggregate per id (``max(CASE WHEN series = id THEN value)``)
+    grouped by date: a single partial/final aggregation with one shuffle on date. The id
+    list is always given, so no job runs to discover it. ``(series, date)`` is unique, so
+    ``max`` picks the one value (``groupBy().pivot()`` gives the same table with a second,
+    two-phase aggregation).
+    """
+    s = F.col(series)
+    return df.groupBy(F.col(date).alias(out_date)).agg(
+        *[F.max(F.when(s == F.lit(i), F.col(value))).alias(i) for i in ids]
+    )
 
 
 def harmonize_outer_join(df: DataFrame, ids: Sequence[str], series: str = "series_id", date: str = "date",
@@ -101,8 +109,7 @@ def combined_currency(
     ).filter(F.col("_rf_out").isNotNull())
     filled = forward_fill_nonzero(labelled, ["_rf_out"], date, value, out="_rf_ff",
                                   block_days=block_days, tiebreak=freq)
-    return (
-        filled.groupBy(F.col(date).cast("string").alias("date"), F.col(freq))
-        .pivot("_rf_out", list(mapping))
-        .agg(F.first("_rf_ff"))
+    out = F.col("_rf_out")
+    return filled.groupBy(F.col(date).cast("string").alias("date"), F.col(freq)).agg(
+        *[F.max(F.when(out == F.lit(name), F.col("_rf_ff"))).alias(name) for name in mapping]
     )

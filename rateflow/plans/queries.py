@@ -542,10 +542,13 @@ _OBS_SCHEMA = StructType([
 ])
 
 
-def _arrivals(spark, sf):
-    obs = _daily(spark, sf).select("series_id", "date", "value")
-    cut = F.to_date(F.lit(C.ARRIVAL_CUTOFF))
-    return obs.filter(F.col("date") < cut), obs.filter(F.col("date") >= cut)
+def _arrivals(spark, sf, key="priority"):
+    """The observations in two arrivals, split at the cutoff date. The bound is applied to
+    the raw order date, so each arrival reads only its own Parquet row groups."""
+    cols = ["series_id", "date", "value"]
+    first = order_observations(spark, sf, "DAILY", key, end=C.ARRIVAL_CUTOFF).select(*cols)
+    second = order_observations(spark, sf, "DAILY", key, start=C.ARRIVAL_CUTOFF).select(*cols)
+    return first, second
 
 
 def stream_initial_rows(spark, sf):
@@ -588,11 +591,10 @@ def stream_consume(spark, sf):
     touched series after every batch; late rows land in old partitions correctly."""
     src, ckpt, raw, metrics = (shared_dir(spark, n) for n in ("stream-src", "stream-ckpt", "stream-raw",
                                                               "stream-metrics"))
-    obs = _sparse(spark, sf)
-    cut = F.to_date(F.lit(C.ARRIVAL_CUTOFF))
-    land(obs.filter(F.col("date") < cut), src)
+    first, second = _arrivals(spark, sf, "nation_priority")
+    land(first, src)
     stream_refresh(spark, src, _OBS_SCHEMA, ckpt, raw, metrics, missing="null")
-    land(obs.filter(F.col("date") >= cut), src)
+    land(second, src)
     stream_refresh(spark, src, _OBS_SCHEMA, ckpt, raw, metrics, missing="null")
     return read_metrics(spark, metrics)
 

@@ -126,9 +126,10 @@ def read_series_json(
         .json(path)
     )
     sid = _series_col(series_from)
-    cols = ([sid.alias("series_id")] if sid is not None else []) + [F.inline("observations")]
-    flat = raw.select(*cols)
     keep = ["series_id"] if sid is not None else []
+    # take the path first, so the scan reads only ``_metadata.file_path``
+    paths = raw.select(*([sid.alias("series_id")] if sid is not None else []), "observations")
+    flat = paths.select(*keep, F.inline("observations"))
     out = flat.select(
         *keep,
         F.expr("try_cast(trim(date) AS DATE)").alias("date"),
