@@ -366,6 +366,7 @@ def series_array_agg(spark, sf):
 
 
 def rows_to_objects(spark, sf):
+    """Rows as JSON objects per series and month; NULL fields are left out of an object."""
     obs = _daily(spark, sf)
     return obs.groupBy("series_id", F.trunc("date", "MM").alias("month")).agg(
         F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("objects"))
