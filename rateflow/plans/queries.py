@@ -600,6 +600,28 @@ def stream_consume(spark, sf):
     return read_metrics(spark, metrics)
 
 
+_EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+                  "props STRING")
+
+
+def stream_driver_table(spark, sf):
+    """A driver table consumed as an append-only change stream, straight from its folder
+    (``pathGlobFilter`` picks the one file, the schema is given), then rolled up into daily
+    observations per event type."""
+    sink, ckpt = shared_dir(spark, "events-sink"), shared_dir(spark, "events-ckpt")
+    stream = spark.readStream.schema(_EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
+    from rateflow.streaming.consume import run_available
+
+    run_available(stream.select("event_id", "event_type", "ts", "value"), ckpt, append_to(sink, run=0))
+    run_available(stream.select("event_id", "event_type", "ts", "value"), ckpt, append_to(sink, run=1))
+    ev = spark.read.parquet(sink)
+    return ev.groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_sum"),
+        F.countDistinct("run").alias("n_runs"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "scan_csv_nullif": scan_csv_nullif,
@@ -676,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "stream_initial_rows": stream_initial_rows,
     "stream_pending_count": stream_pending_count,
     "stream_consume": stream_consume,
+    "stream_driver_table": stream_driver_table,
     # UDF surface
     "usd_conversion_sql_udf": usd_conversion_sql_udf,
     "forward_fill_nonzero": forward_fill_nonzero_q,
