@@ -349,7 +349,7 @@ def global_agg(spark, sf):
         F.max("date").alias("max_date"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count("value").alias("n_values"),
-        F.sum("value").alias("sum_value"),
+        F.sum("value").cast("decimal(38,4)").alias("sum_value"),
     )
 
 
