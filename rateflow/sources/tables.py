@@ -39,47 +39,65 @@ def _half_up_mean_thousands(cents_sum, n):
     return (q.cast("decimal(22,0)") * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
 
 
-def order_observations(spark: SparkSession, sf_dir: str, freq: str = "DAILY", key: str = "priority",
-                       start: str | None = None, end: str | None = None) -> DataFrame:
-    """Long observations ``(series_id, freq, date, value)`` from ``orders``.
-
-    ``key='priority'``: five series per frequency. ``key='nation_priority'``: one series per
-    customer nation and priority. That joins ``customer``, which Spark broadcasts only while
-    its measured size is under the broadcast threshold; beyond it the join is sort-merge.
+def daily_parts(spark: SparkSession, sf_dir: str, key: str = "priority",
+                start: str | None = None, end: str | None = None) -> DataFrame:
+    """Per series code (``P1`` or ``P1_N07``) and day: price in cents, order count and
+    settled-order count. Everything else is rolled up from these additive parts, so
+    ``orders`` is scanned once for every frequency.
+
+    ``key='nation_priority'`` joins ``customer``, which Spark broadcasts only while its
+    measured size is under the broadcast threshold; beyond it the join is sort-merge.
     ``start <= order date < end`` (``yyyy-MM-dd``) is applied to the raw timestamp column, so
     it reaches the Parquet scan as a pushed filter (row groups outside are skipped).
     """
-    if freq not in ("DAILY", "MONTHLY"):
-        raise ValueError("freq must be DAILY or MONTHLY")
     orders = table(spark, sf_dir, "orders")
     if start:
         orders = orders.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
     if end:
         orders = orders.filter(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
-    day = F.to_date("o_orderdate") if freq == "DAILY" else F.trunc(F.to_date("o_orderdate"), "MM")
-    sid = F.concat(F.lit("D" if freq == "DAILY" else "M"), F.lit("P"), F.substring("o_orderpriority", 1, 1))
+    code = F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1))
     if key == "nation_priority":
         cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
-        sid = F.concat(sid, F.lit("_N"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
+        code = F.concat(code, F.lit("_N"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
     elif key != "priority":
         raise ValueError("key must be 'priority' or 'nation_priority'")
-    cents = F.col("o_totalprice").cast("decimal(18,2)") * F.lit(100)
-    agg = orders.groupBy(sid.alias("series_id"), day.alias("date")).agg(
-        F.sum(cents.cast("bigint")).alias("_cents"),
+    cents = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(100)).cast("bigint")
+    return orders.groupBy(code.alias("code"), F.to_date("o_orderdate").alias("date")).agg(
+        F.sum(cents).alias("_cents"),
         F.count(F.lit(1)).alias("_n"),
         F.count(F.when(F.col("o_orderstatus") != "P", 1)).alias("_settled"),
     )
-    return agg.select(
-        "series_id",
+
+
+def _finish(parts: DataFrame, freq: str) -> DataFrame:
+    if freq == "MONTHLY":
+        parts = parts.groupBy("code", F.trunc("date", "MM").alias("date")).agg(
+            F.sum("_cents").alias("_cents"), F.sum("_n").alias("_n"), F.sum("_settled").alias("_settled"))
+    prefix = "D" if freq == "DAILY" else "M"
+    return parts.select(
+        F.concat(F.lit(prefix), F.col("code")).alias("series_id"),
         F.lit(freq).alias("freq"),
         "date",
         F.when(F.col("_settled") > 0, _half_up_mean_thousands("_cents", "_n")).alias("value"),
     )
 
 
+def order_observations(spark: SparkSession, sf_dir: str, freq: str = "DAILY", key: str = "priority",
+                       start: str | None = None, end: str | None = None) -> DataFrame:
+    """Long observations ``(series_id, freq, date, value)`` from ``orders``: daily, or monthly
+    rolled up from the daily parts (the monthly mean is total cents over total orders).
+
+    ``key='priority'``: five series per frequency. ``key='nation_priority'``: one series per
+    customer nation and priority. See ``daily_parts`` for the join and the date bounds.
+    """
+    if freq not in ("DAILY", "MONTHLY"):
+        raise ValueError("freq must be DAILY or MONTHLY")
+    return _finish(daily_parts(spark, sf_dir, key, start, end), freq)
+
+
 def all_observations(spark: SparkSession, sf_dir: str, key: str = "priority") -> DataFrame:
-    """Daily and monthly observations in one long table."""
-    return order_observations(spark, sf_dir, "DAILY", key).unionByName(
-        order_observations(spark, sf_dir, "MONTHLY", key)
-    )
+    """Daily and monthly observations in one long table; both come from one set of daily
+    parts, so ``orders`` is scanned and shuffled once (the second branch reuses the exchange)."""
+    parts = daily_parts(spark, sf_dir, key)
+    return _finish(parts, "DAILY").unionByName(_finish(parts, "MONTHLY"))
