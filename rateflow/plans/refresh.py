@@ -83,3 +83,42 @@ def refresh_metrics(
         filled = update_from(skeleton, tmp, f.date_col, metric_columns(f.rates))
         create_table_as(filled, names[f"{f.name}_metrics"], f"{root}/{f.name.lower()}_metrics")
     return "Data metrics updated successfully."
+
+
+def frequencies_for(ids_by_freq: dict[str, list[str]], convert: list[str] = ()) -> list[Frequency]:
+    """Frequency descriptions for the given series ids; daily series are gap-filled."""
+    out = []
+    for name, date_col, fill in (("DAILY", "DDATE", True), ("MONTHLY", "MDATE", False)):
+        ids = sorted(ids_by_freq.get(name, []))
+        if not ids:
+            continue
+        conv = [i for i in ids if i in set(convert)]
+        rates = [f"{i}_CONVERTED" if i in conv else i for i in ids]
+        out.append(Frequency(name, date_col, ids, conv, rates, fill))
+    return out
+
+
+def refresh_from_files(
+    spark: SparkSession,
+    path: str,
+    env: str = "dev",
+    convert: list[str] = (),
+    ids_by_freq: dict[str, list[str]] | None = None,
+    root: str | None = None,
+) -> str:
+    """The whole daily job from landed ``<SERIES>.csv`` files (``date,value`` with null
+    markers): read every file in one pass, route each series to its frequency by its id,
+    then ``refresh_metrics``. The wide tables need the series ids as column names; when
+    ``ids_by_freq`` is not given they are found with one distinct query (one row per series,
+    bounded by the number of series, not by the data)."""
+    from pyspark.sql import functions as F
+
+    from rateflow.sources.files import read_series_csv, with_frequency
+
+    raw = with_frequency(read_series_csv(spark, path, series_from="file"))
+    if ids_by_freq is None:
+        ids_by_freq = {}
+        for r in raw.select("freq", "series_id").distinct().orderBy("freq", "series_id").collect():
+            ids_by_freq.setdefault(r.freq, []).append(r.series_id)
+    raw = raw.select("series_id", "freq", "date", F.col("value").cast("decimal(18,4)").alias("value"))
+    return refresh_metrics(spark, raw, frequencies_for(ids_by_freq, list(convert)), env=env, root=root)

@@ -75,3 +75,26 @@ def test_monthly_golden(spark, tmp):
     wide = harmonize(obs, ["MINR", "MEUR", "MGBP"], ["MEUR", "MGBP"], fill=False, out_date="MDATE")
     m = wide_metrics(wide, "MDATE", ["MINR", "MEUR_CONVERTED", "MGBP_CONVERTED"]).orderBy("MDATE").collect()
     assert as_tuples(m) == expected(GOLDEN_MONTHLY)
+
+
+def test_refresh_from_files_end_to_end(spark, tmp):
+    from rateflow.plans.refresh import refresh_from_files, table_names
+
+    land(tmp, DAILY)
+    land(tmp, MONTHLY)
+    status = refresh_from_files(spark, tmp, env="rf_golden", convert=["DEUR", "DGBP", "MEUR", "MGBP"],
+                                root=f"{tmp}-tables")
+    assert "success" in status
+    names = table_names("rf_golden")
+    daily = spark.table(names["DAILY_metrics"]).orderBy("DDATE").select(
+        "DDATE", "DINR", "DEUR_CONVERTED", "DGBP_CONVERTED",
+        "rate_change_percent_dinr", "rate_change_percent_deur_converted", "rate_change_percent_dgbp_converted",
+        "volatility_dinr", "volatility_deur_converted", "volatility_dgbp_converted").collect()
+    got = [(r[0].isoformat(), float(r[1])) + tuple(str(v) for v in r[2:]) for r in daily[:4]]
+    assert got == expected(GOLDEN_ZERO)
+    monthly = spark.table(names["MONTHLY_metrics"]).orderBy("MDATE").select(
+        "MDATE", "MINR", "MEUR_CONVERTED", "MGBP_CONVERTED",
+        "rate_change_percent_minr", "rate_change_percent_meur_converted", "rate_change_percent_mgbp_converted",
+        "volatility_minr", "volatility_meur_converted", "volatility_mgbp_converted").collect()
+    assert [(r[0].isoformat(), float(r[1])) + tuple(str(v) for v in r[2:]) for r in monthly] == \
+        expected(GOLDEN_MONTHLY)
