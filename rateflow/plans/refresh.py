@@ -66,7 +66,7 @@ def refresh_metrics(
 ) -> str:
     """Run the whole refresh; ``raw`` is the long table ``(series_id, freq, date, value)``."""
     root = root or shared_dir(spark, f"{env}-tables")
-    ensure_layers(spark, env)
+    ensure_layers(spark, env, root=root)
     names = table_names(env)
     raw_t = create_table_as(null_to_zero(raw, "value"), names["raw"], f"{root}/raw", partition_by=["freq"])
     if check_unique:

@@ -16,11 +16,16 @@ from pyspark.sql.types import StructType
 LAYERS = ("raw", "harmonized", "analytics")
 
 
-def ensure_layers(spark: SparkSession, env: str = "dev", layers: Sequence[str] = LAYERS) -> list[str]:
-    """``CREATE DATABASE IF NOT EXISTS <env>_<layer>`` for every layer; returns the names."""
+def ensure_layers(spark: SparkSession, env: str = "dev", layers: Sequence[str] = LAYERS,
+                  root: str | None = None) -> list[str]:
+    """``CREATE DATABASE IF NOT EXISTS <env>_<layer>`` for every layer; returns the names.
+
+    With ``root`` the databases live below that (shared) folder instead of the session's
+    warehouse directory."""
     names = [f"{env}_{layer}".lower() for layer in layers]
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        loc = f" LOCATION '{root.rstrip('/')}/{name}.db'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
     return names
 
 
