@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.numeric import abs_pct_change_expr, stddev_to_fixed
-from rateflow.operators.blocks import plain_scan, prefix_scan, scan
+from rateflow.operators.blocks import plain_scan, scan
 from rateflow.operators.fill import _keys
 
 

@@ -56,7 +56,6 @@ from rateflow.sinks.tables import (
     update_from,
 )
 from rateflow.sources.files import (
-    filter_date_range,
     list_source_files,
     read_series_csv,
     read_series_json,
