@@ -138,3 +138,21 @@ def test_blocked_scan_spreads_a_hot_series(spark):
     for k, (p, s) in a.items():
         assert b[k][0] == p
         assert (s is None and b[k][1] is None) or abs(s - b[k][1]) <= 1e-9 * max(1.0, s)
+
+
+def test_combined_currency_keeps_rows_per_frequency(spark):
+    from rateflow.operators.harmonize import combined_currency
+
+    obs = spark.createDataFrame(
+        [("DA", "DAILY", d(0), 0.0), ("DA", "DAILY", d(1), 2.0), ("DA", "DAILY", d(31), None),
+         ("MA", "MONTHLY", d(0), 5.0), ("MA", "MONTHLY", d(31), 0.0),
+         ("DB", "DAILY", d(1), 7.0)],
+        "series_id string, freq string, date date, value double")
+    out = sorted(tuple(r) for r in combined_currency(obs, {"A": ["DA", "MA"], "B": ["DB"]}).collect())
+    assert out == [
+        (d(0).isoformat(), "DAILY", None, None),      # 0 is missing, nothing before it
+        (d(0).isoformat(), "MONTHLY", 5.0, None),     # same date, taken after the daily row
+        (d(1).isoformat(), "DAILY", 2.0, 7.0),
+        (d(31).isoformat(), "DAILY", 2.0, None),      # NULL takes the last valid value
+        (d(31).isoformat(), "MONTHLY", 2.0, None),    # 0 as well
+    ]
