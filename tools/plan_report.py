@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 HEADLINE = [
     "gap_fill", "series_metrics", "series_metrics_blocked", "harmonize_daily", "daily_metrics",
     "monthly_metrics", "combined_currency", "latest_20", "forward_fill_array", "update_from_join",
-    "load_all_series", "filter_date_range",
+    "load_all_series", "filter_date_range", "union_daily_monthly", "stream_append_only",
 ]
 
 
