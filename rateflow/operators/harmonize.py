@@ -34,8 +34,18 @@ def harmonize_pivot(df: DataFrame, ids: Sequence[str], series: str = "series_id"
 
 
 def harmonize_outer_join(df: DataFrame, ids: Sequence[str], series: str = "series_id", date: str = "date",
-                         value: str = "value", out_date: str = "date") -> DataFrame:
-    """``s1 FULL OUTER JOIN s2 USING (date) FULL OUTER JOIN s3 ...`` (key coalesced)."""
+                         value: str = "value", out_date: str = "date", materialize: bool = False) -> DataFrame:
+    """``s1 FULL OUTER JOIN s2 USING (date) FULL OUTER JOIN s3 ...`` (key coalesced).
+
+    Each per-series filter is pushed down into its own branch, so the input plan runs once per
+    series. ``materialize=True`` first writes the long input with a reliable ``checkpoint()``
+    (to the shared ``spark.checkpoint.dir``, lineage cut), so the branches read that instead.
+    """
+    if materialize:
+        from rateflow.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)  # ensures a checkpoint folder is set
+        df = df.select(series, date, value).checkpoint(eager=True)
     frames = [
         df.filter(F.col(series) == sid).select(F.col(date).alias(out_date), F.col(value).alias(sid))
         for sid in ids

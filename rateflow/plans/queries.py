@@ -322,7 +322,7 @@ def _filled_priority(spark, sf):
 
 
 def harmonize_outer_join_q(spark, sf):
-    return harmonize_outer_join(_filled_priority(spark, sf), C.DAILY_IDS, out_date="DDATE")
+    return harmonize_outer_join(_filled_priority(spark, sf), C.DAILY_IDS, out_date="DDATE", materialize=True)
 
 
 def harmonize_pivot_q(spark, sf):
