@@ -65,12 +65,12 @@ def test_forward_fill_array_seed(spark):
 
 
 def test_string_keys(spark):
-    df = spark.createDataFrame([("stage/daily/dexinus.csv", "RAW_DEXINUS", "DEXUSEU"),
-                                ("EXUSUK.csv", "RAW_EXUSUK", "EXUSUK")], "p string, t string, s string")
+    df = spark.createDataFrame([("stage/daily/dinr.csv", "RAW_DINR", "DEUR"),
+                                ("MGBP.csv", "RAW_MGBP", "MGBP")], "p string, t string, s string")
     r = df.select(series_from_path("p").alias("a"), base_name("p").alias("b"), strip_prefix("t").alias("c"),
                   route_frequency("s").alias("d")).collect()
-    assert [tuple(x) for x in r] == [("DEXINUS", "dexinus.csv", "DEXINUS", "DAILY"),
-                                     ("EXUSUK", "EXUSUK.csv", "EXUSUK", "MONTHLY")]
+    assert [tuple(x) for x in r] == [("DINR", "dinr.csv", "DINR", "DAILY"),
+                                     ("MGBP", "MGBP.csv", "MGBP", "MONTHLY")]
 
 
 def test_null_markers(spark):

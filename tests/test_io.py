@@ -16,20 +16,20 @@ def write(path, text):
 
 
 def test_csv_markers_padding_blank_lines_quotes_header_case(spark, tmp):
-    write(f"{tmp}/daily/DEXINUS.csv", 'date,value\n2020-01-01,.\n\n 2020-01-02 , 71.34 \n"2020-01-03","71.76"\n'
+    write(f"{tmp}/daily/DINR.csv", 'date,value\n2020-01-01,.\n\n 2020-01-02 , 71.34 \n"2020-01-03","71.76"\n'
                                       "2020-01-06,NULL\n2020-01-07,null\n2020-01-08,\n2020-01-09,abc\n")
     write(f"{tmp}/monthly/exuseu.csv", "DATE,VALUE\n2020-01-01,1.1\n")
     df = read_series_csv(spark, tmp)
     rows = sorted(tuple(r) for r in df.collect())
     assert rows == [
-        ("DEXINUS", dt.date(2020, 1, 1), None), ("DEXINUS", dt.date(2020, 1, 2), 71.34),
-        ("DEXINUS", dt.date(2020, 1, 3), 71.76), ("DEXINUS", dt.date(2020, 1, 6), None),
-        ("DEXINUS", dt.date(2020, 1, 7), None), ("DEXINUS", dt.date(2020, 1, 8), None),
-        ("DEXINUS", dt.date(2020, 1, 9), None), ("EXUSEU", dt.date(2020, 1, 1), 1.1)]
+        ("DINR", dt.date(2020, 1, 1), None), ("DINR", dt.date(2020, 1, 2), 71.34),
+        ("DINR", dt.date(2020, 1, 3), 71.76), ("DINR", dt.date(2020, 1, 6), None),
+        ("DINR", dt.date(2020, 1, 7), None), ("DINR", dt.date(2020, 1, 8), None),
+        ("DINR", dt.date(2020, 1, 9), None), ("MEUR", dt.date(2020, 1, 1), 1.1)]
 
 
 def test_csv_infer_schema(spark, tmp):
-    write(f"{tmp}/EXINUS.csv", "date,value\n2020-01-01,71.279\n2020-02-01,71.5295\n")
+    write(f"{tmp}/MINR.csv", "date,value\n2020-01-01,71.279\n2020-02-01,71.5295\n")
     df = read_series_csv(spark, tmp, infer=True)
     assert dict(df.dtypes) == {"series_id": "string", "date": "date", "value": "double"}
 
@@ -48,10 +48,10 @@ def test_json_payloads(spark, tmp):
                                                  {"date": "2020-01-02", "value": "71.34"}]},
         {"observations": []},
     ]
-    write(f"{tmp}/series_id=DEXINUS/part-0.json", "\n".join(json.dumps(x) for x in docs) + "\n")
+    write(f"{tmp}/series_id=DINR/part-0.json", "\n".join(json.dumps(x) for x in docs) + "\n")
     df = read_series_json(spark, tmp)
-    assert sorted(tuple(r) for r in df.collect()) == [("DEXINUS", dt.date(2020, 1, 1), None),
-                                                      ("DEXINUS", dt.date(2020, 1, 2), 71.34)]
+    assert sorted(tuple(r) for r in df.collect()) == [("DINR", dt.date(2020, 1, 1), None),
+                                                      ("DINR", dt.date(2020, 1, 2), 71.34)]
     assert read_series_json(spark, tmp, start="2020-01-02").count() == 1
     assert filter_date_range(df, "date", "2019-01-01", "2020-01-01").count() == 1
 
