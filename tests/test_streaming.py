@@ -47,3 +47,23 @@ def test_incremental_refresh_handles_late_rows(spark, tmp):
     stream_refresh(spark, src, schema, ckpt, raw, met, missing="null")
     m = read_metrics(spark, met)
     assert {r.series_id: r["count"] for r in m.groupBy("series_id").count().collect()} == {"A": 11, "B": 1}
+
+
+def test_late_row_in_old_history_equals_batch(spark, tmp):
+    from decimal import Decimal
+
+    from rateflow.operators.fill import gap_fill
+    from rateflow.operators.metrics import series_metrics
+
+    src, ckpt, raw, met = (f"{tmp}/{x}" for x in ("src", "ckpt", "raw", "met"))
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=i), Decimal(v)) for i, v in
+            [(0, "1.0000"), (3, "2.0000"), (9, "5.0000")]]
+    first = spark.createDataFrame(rows, SCHEMA)
+    land(first, src)
+    stream_refresh(spark, src, first.schema, ckpt, raw, met, missing="null")
+    late = spark.createDataFrame([("A", dt.date(2020, 1, 6), Decimal("9.0000"))], SCHEMA)  # between old rows
+    land(late, src)
+    stream_refresh(spark, src, first.schema, ckpt, raw, met, missing="null")
+    got = sorted(tuple(r) for r in read_metrics(spark, met).collect())
+    want = sorted(tuple(r) for r in series_metrics(gap_fill(first.union(late), missing="null")).collect())
+    assert got == want and len(got) == 10
