@@ -19,10 +19,12 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--env", default="dev", help="prefix of the raw/harmonized/analytics databases")
     ap.add_argument("--convert", default="", help="comma-separated series ids quoted the other way round")
     ap.add_argument("--root", default=None, help="shared folder for the tables (default: below the checkpoint dir)")
+    ap.add_argument("--weekly", action="store_true", help="also build the weekly tables from the daily series")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("rateflow-refresh").getOrCreate()
     convert = [c.strip() for c in args.convert.split(",") if c.strip()]
-    status = refresh_from_files(spark, args.input, env=args.env, convert=convert, root=args.root)
+    status = refresh_from_files(spark, args.input, env=args.env, convert=convert, root=args.root,
+                                weekly=args.weekly)
     print(status)
     return status
 

@@ -17,6 +17,7 @@ from rateflow.operators.harmonize import (
     harmonize_outer_join,
     harmonize_pivot,
     union_daily_monthly,
+    weekly_observations,
 )
 from rateflow.operators.metrics import (
     abs_pct_change,
@@ -34,6 +35,6 @@ __all__ = [
     "forward_fill", "forward_fill_nonzero", "gap_fill", "gap_fill_spine", "harmonize",
     "harmonize_outer_join", "harmonize_pivot", "lag_value", "latest", "metrics_skeleton",
     "plain_scan", "prefix_scan", "scan", "serve_latest", "serve_metric_group", "series_metrics",
-    "series_span", "sort_series", "spine_left_join", "union_daily_monthly", "volatility",
+    "series_span", "sort_series", "spine_left_join", "union_daily_monthly", "volatility", "weekly_observations",
     "wide_metrics",
 ]

@@ -83,6 +83,14 @@ def harmonize(
     return add_conversions(wide, convert)
 
 
+def weekly_observations(df: DataFrame, series: str = "series_id", date: str = "date",
+                        value: str = "value") -> DataFrame:
+    """One row per series and week (weeks start on Monday): the value of the week's last
+    observation, NULL kept. Partial aggregation per (series, week), one shuffle."""
+    return df.groupBy(F.col(series), F.date_trunc("week", F.col(date)).cast("date").alias(date)).agg(
+        F.max_by(F.col(value), F.col(date)).alias(value))
+
+
 def union_daily_monthly(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     """``UNION ALL`` by column name; duplicates across frequencies are kept."""
     return daily.unionByName(monthly, allowMissingColumns=True)

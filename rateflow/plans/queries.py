@@ -32,6 +32,7 @@ from rateflow.operators.harmonize import (
     harmonize_outer_join,
     harmonize_pivot,
     union_daily_monthly,
+    weekly_observations,
 )
 from rateflow.operators.metrics import (
     abs_pct_change,
@@ -498,9 +499,8 @@ def monthly_metrics(spark, sf):
 
 def weekly_metrics(spark, sf):
     """Weekly series (week starting Monday), harmonized and measured like the monthly ones."""
-    obs = order_observations(spark, sf, "DAILY", "priority")
-    weekly = obs.groupBy("series_id", F.date_trunc("week", "date").cast("date").alias("date")).agg(
-        F.max_by("value", "date").alias("value"))
+    obs = order_observations(spark, sf, "DAILY", "priority").select("series_id", "date", "value")
+    weekly = weekly_observations(obs)
     weekly = weekly.withColumn("series_id", F.concat(F.lit("W"), F.substring("series_id", 2, 2)))
     ids = [f"WP{c}" for c in "12345"]
     wide = harmonize(weekly, ids, ["WP2", "WP3"], fill=False, missing="zero", out_date="WDATE")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateflow.operators.harmonize import harmonize
+from rateflow.operators.harmonize import harmonize, weekly_observations
 from rateflow.operators.metrics import metrics_skeleton, wide_metrics
 from rateflow.session import shared_dir
 from rateflow.sinks.tables import (
@@ -42,6 +42,8 @@ def table_names(env: str) -> dict[str, str]:
         "MONTHLY_harmonized": f"{harm}.harmonized_monthly_tbl",
         "DAILY_metrics": f"{ana}.daily_data_metrics",
         "MONTHLY_metrics": f"{ana}.monthly_data_metrics",
+        "WEEKLY_harmonized": f"{harm}.harmonized_weekly_tbl",
+        "WEEKLY_metrics": f"{ana}.weekly_data_metrics",
     }
 
 
@@ -50,8 +52,12 @@ def metric_columns(rates: list[str]) -> list[str]:
 
 
 def build_metrics(raw: DataFrame, f: Frequency, missing: str = "zero") -> tuple[DataFrame, DataFrame]:
-    """Harmonized wide table and its metrics table for one frequency."""
-    obs = raw.filter(raw.freq == f.name)
+    """Harmonized wide table and its metrics table for one frequency. Weekly series are the
+    daily ones taken at the last observation of each week."""
+    if f.name == "WEEKLY":
+        obs = weekly_observations(raw.filter(raw.freq == "DAILY").select("series_id", "date", "value"))
+    else:
+        obs = raw.filter(raw.freq == f.name)
     wide = harmonize(obs, f.ids, f.convert, fill=f.fill, missing=missing, out_date=f.date_col)
     return wide, wide_metrics(wide, f.date_col, f.rates)
 
@@ -85,10 +91,14 @@ def refresh_metrics(
     return "Data metrics updated successfully."
 
 
-def frequencies_for(ids_by_freq: dict[str, list[str]], convert: list[str] = ()) -> list[Frequency]:
-    """Frequency descriptions for the given series ids; daily series are gap-filled."""
+def frequencies_for(ids_by_freq: dict[str, list[str]], convert: list[str] = (),
+                    weekly: bool = False) -> list[Frequency]:
+    """Frequency descriptions for the given series ids; daily series are gap-filled.
+    ``weekly=True`` adds a weekly table built from the daily series."""
+    if weekly and ids_by_freq.get("DAILY"):
+        ids_by_freq = {**ids_by_freq, "WEEKLY": list(ids_by_freq["DAILY"])}
     out = []
-    for name, date_col, fill in (("DAILY", "DDATE", True), ("MONTHLY", "MDATE", False)):
+    for name, date_col, fill in (("DAILY", "DDATE", True), ("MONTHLY", "MDATE", False), ("WEEKLY", "WDATE", False)):
         ids = sorted(ids_by_freq.get(name, []))
         if not ids:
             continue
@@ -105,6 +115,7 @@ def refresh_from_files(
     convert: list[str] = (),
     ids_by_freq: dict[str, list[str]] | None = None,
     root: str | None = None,
+    weekly: bool = False,
 ) -> str:
     """The whole daily job from landed ``<SERIES>.csv`` files (``date,value`` with null
     markers): read every file in one pass, route each series to its frequency by its id,
@@ -121,4 +132,5 @@ def refresh_from_files(
         for r in raw.select("freq", "series_id").distinct().orderBy("freq", "series_id").collect():
             ids_by_freq.setdefault(r.freq, []).append(r.series_id)
     raw = raw.select("series_id", "freq", "date", F.col("value").cast("decimal(18,4)").alias("value"))
-    return refresh_metrics(spark, raw, frequencies_for(ids_by_freq, list(convert)), env=env, root=root)
+    freqs = frequencies_for(ids_by_freq, list(convert), weekly=weekly)
+    return refresh_metrics(spark, raw, freqs, env=env, root=root)

@@ -98,3 +98,15 @@ def test_refresh_from_files_end_to_end(spark, tmp):
         "volatility_minr", "volatility_meur_converted", "volatility_mgbp_converted").collect()
     assert [(r[0].isoformat(), float(r[1])) + tuple(str(v) for v in r[2:]) for r in monthly] == \
         expected(GOLDEN_MONTHLY)
+
+
+def test_weekly_tables_from_daily(spark, tmp):
+    from rateflow.plans.refresh import refresh_from_files, table_names
+
+    land(tmp, DAILY)
+    refresh_from_files(spark, tmp, env="rf_weekly", convert=["DEUR", "DGBP"], root=f"{tmp}-tables", weekly=True)
+    rows = spark.table(table_names("rf_weekly")["WEEKLY_harmonized"]).orderBy("WDATE").collect()
+    # week of Mon 2019-12-30 ends with the 2020-01-03 value; week of 2020-01-06 has one day
+    assert [(r.WDATE.isoformat(), str(r.DINR)) for r in rows] == [("2019-12-30", "71.7600"), ("2020-01-06", "71.8600")]
+    m = spark.table(table_names("rf_weekly")["WEEKLY_metrics"]).orderBy("WDATE").collect()
+    assert str(m[1].rate_change_percent_dinr) == "0.1394"
