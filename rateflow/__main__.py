@@ -1,7 +1,11 @@
-"""Run the daily job from landed files: ``python -m rateflow --input <folder> [--env dev]``.
+"""Command line for the daily job and the dashboard read.
+
+    python -m rateflow refresh --input <folder of SERIES.csv> [--env dev] [--convert A,B] [--weekly]
+    python -m rateflow serve [--env dev] [--freq daily|weekly|monthly] [--group rates|changes|volatility] [-k 20]
 
 ``spark-submit`` supplies the cluster settings (including ``spark.checkpoint.dir``); the
-session is taken with ``getOrCreate()``. Prints the job's status line.
+session is taken with ``getOrCreate()``. ``refresh`` prints the job's status line; ``serve``
+shows the newest k rows of one metric group, oldest first (only k rows leave the executors).
 """
 
 from __future__ import annotations
@@ -10,23 +14,47 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from rateflow.plans.refresh import refresh_from_files
+from rateflow.operators.serve import GROUPS, serve_latest
+from rateflow.plans.refresh import refresh_from_files, table_names
+
+_DATE_COL = {"DAILY": "DDATE", "WEEKLY": "WDATE", "MONTHLY": "MDATE"}
+
 
+def _rates(columns: list[str], date_col: str) -> list[str]:
+    """Rate columns of a metrics table: everything except the date and the metric columns."""
+    return [c for c in columns if c != date_col and not c.startswith(("rate_change_percent_", "volatility_"))]
 
-def main(argv: list[str] | None = None) -> str:
-    ap = argparse.ArgumentParser(prog="rateflow", description=__doc__)
-    ap.add_argument("--input", required=True, help="folder with <SERIES>.csv files (date,value)")
-    ap.add_argument("--env", default="dev", help="prefix of the raw/harmonized/analytics databases")
-    ap.add_argument("--convert", default="", help="comma-separated series ids quoted the other way round")
-    ap.add_argument("--root", default=None, help="shared folder for the tables (default: below the checkpoint dir)")
-    ap.add_argument("--weekly", action="store_true", help="also build the weekly tables from the daily series")
+
+def main(argv: list[str] | None = None):
+    ap = argparse.ArgumentParser(prog="rateflow", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    r = sub.add_parser("refresh", help="raw -> harmonized -> analytics from landed files")
+    r.add_argument("--input", required=True, help="folder with <SERIES>.csv files (date,value)")
+    r.add_argument("--env", default="dev", help="prefix of the raw/harmonized/analytics databases")
+    r.add_argument("--convert", default="", help="comma-separated series ids quoted the other way round")
+    r.add_argument("--root", default=None, help="shared folder for the tables (default: below the checkpoint dir)")
+    r.add_argument("--weekly", action="store_true", help="also build the weekly tables from the daily series")
+    s = sub.add_parser("serve", help="newest rows of one metric group")
+    s.add_argument("--env", default="dev")
+    s.add_argument("--freq", default="daily", choices=["daily", "weekly", "monthly"])
+    s.add_argument("--group", default="rates", choices=list(GROUPS))
+    s.add_argument("-k", type=int, default=20)
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("rateflow-refresh").getOrCreate()
-    convert = [c.strip() for c in args.convert.split(",") if c.strip()]
-    status = refresh_from_files(spark, args.input, env=args.env, convert=convert, root=args.root,
-                                weekly=args.weekly)
-    print(status)
-    return status
+
+    spark = SparkSession.builder.appName(f"rateflow-{args.cmd}").getOrCreate()
+    if args.cmd == "refresh":
+        convert = [c.strip() for c in args.convert.split(",") if c.strip()]
+        status = refresh_from_files(spark, args.input, env=args.env, convert=convert, root=args.root,
+                                    weekly=args.weekly)
+        print(status)
+        return status
+    freq = args.freq.upper()
+    table = spark.table(table_names(args.env)[f"{freq}_metrics"])
+    date_col = _DATE_COL[freq]
+    out = serve_latest(table, date_col, _rates(table.columns, date_col), k=args.k, group=args.group)
+    out.show(args.k, truncate=False)
+    return out
 
 
 if __name__ == "__main__":
