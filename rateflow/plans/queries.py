@@ -285,11 +285,13 @@ def guard_tables_q(spark, sf):
 
 
 def env_layers(spark, sf):
+    """Row counts of every table the daily and monthly refresh wrote, per layer."""
     names = _refresh(spark, sf, "rateflow_prod")
+    written = ["raw"] + [f"{f}_{kind}" for kind in ("harmonized", "metrics") for f in ("DAILY", "MONTHLY")]
     parts = [
         spark.table(t).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(t.split(".")[0]).alias("layer"), F.lit(t.split(".")[1]).alias("table_name"), "n_rows")
-        for t in names.values()
+        for t in (names[k] for k in written)
     ]
     out = parts[0]
     for p in parts[1:]:
