@@ -3,9 +3,10 @@
 ``gap_fill`` is the workhorse: every series gets one row per day of its own
 ``[min(date), max(date)]`` span; a day without an observation takes the last value
 before it. It never builds a separate spine to join against: each observation is
-expanded with ``explode(sequence(date, next_date - 1))``, where ``next_date`` comes from a
-blocked scan (``rateflow.operators.blocks``), so a long series spreads over many tasks
-and no cross join or per-series collection happens.
+expanded with ``explode(sequence(date, next_date - 1))``, where ``next_date`` (a ``lead``)
+and the carried value come from one window per series, so no cross join or per-series
+collection happens. ``block_days`` switches to the blocked scan
+(``rateflow.operators.blocks``), which spreads one long series over many tasks.
 
 ``date_spine`` + ``spine_left_join`` + ``forward_fill`` are the literal, step-by-step form
 (spine, left join, LAST_VALUE IGNORE NULLS), kept as operators of their own.

@@ -1,8 +1,10 @@
 """Rate metrics: LAG, absolute percent change, expanding volatility.
 
 Both the long layout (``keys`` = series columns) and the wide harmonized layout
-(``keys=[]``, one column per series) go through one blocked prefix scan, so LAG and the
-expanding deviation share a single shuffle and no window ever runs in a single task.
+(``keys=[]``, one column per series) go through one scan, so LAG and the expanding
+deviation share a single window node and a single shuffle. Per-series windows are bounded
+by the calendar; the wide table has one row per date. ``block_days`` switches either to the
+blocked prefix scan, which splits a series (or the date axis) over many tasks.
 """
 
 from __future__ import annotations
