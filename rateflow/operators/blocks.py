@@ -1,13 +1,15 @@
-"""Blocked prefix scan: running window state over a series that may be very long.
-
-A plain ``Window.partitionBy(series).orderBy(date)`` sends a whole series to one task, and a
-window with no partition key sends the whole table to one task. Here every series is cut
-into date blocks:
-
-1. one shuffle on ``(keys, block)``; inside each block the running state comes from
-   ordinary window functions (lag, last-ignore-nulls, count/avg/var_pop, lead);
-2. the last row of every block carries the block's state; those rows (one per block, tiny)
-   are folded into an *exclusive* prefix per series with a second window;
+"""Running window state per series: ``plain_scan`` and the blocked ``prefix_scan``.
+
+``plain_scan`` is one ``Window.partitionBy(series).orderBy(date)``: a whole series goes to
+one task, which is bounded when rows are unique per (series, day). ``prefix_scan`` cuts
+every series into date blocks so that a very long series spreads over many tasks:
+
+1. one shuffle on ``(keys, block)`` (an explicit repartition); inside each block the running
+   state comes from ordinary window functions (lag, last-ignore-nulls, count/avg/var_pop,
+   lead);
+2. a summary per block (last values, count, mean, M2) comes from plain aggregates over the
+   same exchange, so it is not shuffled again; the summaries (one row per block, tiny) are
+   folded into an *exclusive* prefix per series with a second window;
 3. the prefix is joined back on ``(keys, block)``. The big side is already partitioned on
    those keys, so only the small prefix side moves (or AQE broadcasts it when its
    measured size is small).
