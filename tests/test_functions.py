@@ -16,6 +16,7 @@ from rateflow.functions import (
     usd_conversion,
 )
 
+# The conversion cases of the reference unit tests (input, expected).
 CONVERSION_CASES = [(0, "0.0000"), (1, "1.0000"), (2, "0.5000"), (4, "0.2500"), (0.5, "2.0000"), (None, None)]
 
 
