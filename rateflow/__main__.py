@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None):
     r.add_argument("--convert", default="", help="comma-separated series ids quoted the other way round")
     r.add_argument("--root", default=None, help="shared folder for the tables (default: below the checkpoint dir)")
     r.add_argument("--weekly", action="store_true", help="also build the weekly tables from the daily series")
+    r.add_argument("--missing", default="zero", choices=["zero", "null"],
+                   help="zero: missing values become 0 at load (parity); null: they are gaps, filled forward")
     s = sub.add_parser("serve", help="newest rows of one metric group")
     s.add_argument("--env", default="dev")
     s.add_argument("--freq", default="daily", choices=["daily", "weekly", "monthly"])
@@ -46,7 +48,7 @@ def main(argv: list[str] | None = None):
     if args.cmd == "refresh":
         convert = [c.strip() for c in args.convert.split(",") if c.strip()]
         status = refresh_from_files(spark, args.input, env=args.env, convert=convert, root=args.root,
-                                    weekly=args.weekly)
+                                    weekly=args.weekly, missing=args.missing)
         print(status)
         return status
     freq = args.freq.upper()

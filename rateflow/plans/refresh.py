@@ -69,16 +69,19 @@ def refresh_metrics(
     env: str = "dev",
     root: str | None = None,
     check_unique: bool = True,
+    missing: str = "zero",
 ) -> str:
     """Run the whole refresh; ``raw`` is the long table ``(series_id, freq, date, value)``."""
     root = root or shared_dir(spark, f"{env}-tables")
     ensure_layers(spark, env, root=root)
     names = table_names(env)
-    raw_t = create_table_as(null_to_zero(raw, "value"), names["raw"], f"{root}/raw", partition_by=["freq"])
+    # parity: missing values become 0 at load; ``missing='null'`` keeps them as gaps to fill
+    loaded = null_to_zero(raw, "value") if missing == "zero" else raw
+    raw_t = create_table_as(loaded, names["raw"], f"{root}/raw", partition_by=["freq"])
     if check_unique:
         assert_unique(raw_t, ["series_id"], "date")
     for f in freqs:
-        wide, _ = build_metrics(raw_t, f, missing="zero")
+        wide, _ = build_metrics(raw_t, f, missing=missing)
         create_table_as(wide, names[f"{f.name}_harmonized"], f"{root}/{f.name.lower()}_harmonized")
     guard_tables(spark, [names[f"{f.name}_harmonized"] for f in freqs])
     for f in freqs:
@@ -116,6 +119,7 @@ def refresh_from_files(
     ids_by_freq: dict[str, list[str]] | None = None,
     root: str | None = None,
     weekly: bool = False,
+    missing: str = "zero",
 ) -> str:
     """The whole daily job from landed ``<SERIES>.csv`` files (``date,value`` with null
     markers): read every file in one pass, route each series to its frequency by its id,
@@ -133,4 +137,4 @@ def refresh_from_files(
             ids_by_freq.setdefault(r.freq, []).append(r.series_id)
     raw = raw.select("series_id", "freq", "date", F.col("value").cast("decimal(18,4)").alias("value"))
     freqs = frequencies_for(ids_by_freq, list(convert), weekly=weekly)
-    return refresh_metrics(spark, raw, freqs, env=env, root=root)
+    return refresh_metrics(spark, raw, freqs, env=env, root=root, missing=missing)

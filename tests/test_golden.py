@@ -110,3 +110,17 @@ def test_weekly_tables_from_daily(spark, tmp):
     assert [(r.WDATE.isoformat(), str(r.DINR)) for r in rows] == [("2019-12-30", "71.7600"), ("2020-01-06", "71.8600")]
     m = spark.table(table_names("rf_weekly")["WEEKLY_metrics"]).orderBy("WDATE").collect()
     assert str(m[1].rate_change_percent_dinr) == "0.1394"
+
+
+def test_refresh_with_null_policy(spark, tmp):
+    from rateflow.plans.refresh import refresh_from_files, table_names
+
+    land(tmp, DAILY)
+    refresh_from_files(spark, tmp, env="rf_nullpol", convert=["DEUR", "DGBP"], root=f"{tmp}-tables", missing="null")
+    rows = spark.table(table_names("rf_nullpol")["DAILY_metrics"]).orderBy("DDATE").select(
+        "DDATE", "DINR", "DEUR_CONVERTED", "DGBP_CONVERTED",
+        "rate_change_percent_dinr", "rate_change_percent_deur_converted", "rate_change_percent_dgbp_converted",
+        "volatility_dinr", "volatility_deur_converted", "volatility_dgbp_converted").collect()
+    got = [(r[0].isoformat(), None if r[1] is None else float(r[1])) + tuple(None if v is None else str(v)
+                                                                            for v in r[2:]) for r in rows[:4]]
+    assert got == expected(GOLDEN_NULL)
