@@ -328,6 +328,7 @@ FROM (SELECT series_id, lo, unnest(generate_series(0, date_diff('day', lo, hi)))
         "stream_pending_count": f"SELECT CASE WHEN date < {cut} THEN 0 ELSE 1 END AS run, count(*) AS pending_rows "
                                 f"FROM {daily} d GROUP BY 1",
         "stream_consume": filled_sql("null", long_metrics_select("g")),
+        "stream_harmonized_initial_rows": harmonized_sql("DAILY"),
         "stream_driver_table": """SELECT event_type AS series_id, CAST(ts AS DATE) AS date, count(*) AS n_events,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_sum, CAST(1 AS BIGINT) AS n_runs
 FROM events GROUP BY 1, 2""",

@@ -601,6 +601,18 @@ def stream_consume(spark, sf):
     return read_metrics(spark, metrics)
 
 
+def stream_harmonized_initial_rows(spark, sf):
+    """Change stream on the harmonized daily table, with its existing rows first: the table is
+    written as Parquet, a new checkpoint emits every row once, a second run emits nothing."""
+    tbl, sink, ckpt = (shared_dir(spark, n) for n in ("harm-tbl", "harm-sink", "harm-ckpt"))
+    wide = _harmonized(spark, sf, DAILY)
+    wide.write.mode("overwrite").parquet(tbl)
+    schema = spark.read.parquet(tbl).schema
+    consume(spark, tbl, schema, ckpt, append_to(sink, run=0), initial_rows=True)
+    consume(spark, tbl, schema, ckpt, append_to(sink, run=1), initial_rows=True)  # nothing new
+    return spark.read.parquet(sink).drop("run", "batch")
+
+
 _EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
                   "props STRING")
 
@@ -697,6 +709,7 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_append_only": stream_append_only,
     "stream_initial_rows": stream_initial_rows,
+    "stream_harmonized_initial_rows": stream_harmonized_initial_rows,
     "stream_pending_count": stream_pending_count,
     "stream_consume": stream_consume,
     "stream_driver_table": stream_driver_table,
