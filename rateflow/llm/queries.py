@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import table
 from rateflow.llm.sharding import jump_shards
+from rateflow.llm.suffix_dedup import repeated_spans
 
 SHARDS = 40
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the bytes of repeated 100-byte strings taken out (first ones stay)."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return repeated_spans(table(spark, sf_dir, "documents"), 100).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = table(spark, sf_dir, "documents").select(
@@ -21,5 +30,6 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jump_sharding": op6_jump_sharding,
 }
