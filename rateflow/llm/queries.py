@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.llm.common import table
+from rateflow.llm.packing import pack
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.suffix_dedup import repeated_spans
 
 SHARDS = 40
+VOCABULARY, END_ID, SEQUENCE = "word_bpe_49k.json", 2, 4096
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of at most 4096."""
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID, SEQUENCE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +39,7 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jump_sharding": op6_jump_sharding,
 }
