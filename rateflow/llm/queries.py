@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import table
 from rateflow.llm.language_id import held_out, identify
+from rateflow.llm.neighbours import nearest
 from rateflow.llm.packing import pack
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.suffix_dedup import repeated_spans
@@ -39,12 +40,17 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 QUERIES = {
+    "op9_cross_polytope": op9_cross_polytope,
     "op10_language_id": op10_language_id,
     "op4_packing": op4_packing,
     "op5_suffix_dedup": op5_suffix_dedup,
