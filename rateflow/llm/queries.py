@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import table
 from rateflow.llm.language_id import held_out, identify
+from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
 from rateflow.llm.packing import pack
 from rateflow.llm.sharding import jump_shards
@@ -40,6 +41,11 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least doc_id of its near-duplicate group."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "n_links")
+
+
 def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -50,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_probminhash": op8_probminhash,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_language_id": op10_language_id,
     "op4_packing": op4_packing,
