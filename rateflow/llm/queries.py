@@ -8,16 +8,35 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import table
 from rateflow.llm.language_id import held_out, identify
+from rateflow.llm.licences import scan
+from rateflow.llm.mixing import mix
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
 from rateflow.llm.packing import pack
+from rateflow.llm.quality import cascade
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.suffix_dedup import repeated_spans
+from rateflow.llm.url_trust import judge
 
 SHARDS = 40
 VOCABULARY, END_ID, SEQUENCE = "word_bpe_49k.json", 2, 4096
 
 
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict: its longest rule's, else its host's."""
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan(docs).select("doc_id", "licence", "licence_at", "n_confirmed", "n_unconfirmed")
+
+
+def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document at least once, no source more than twice, in blocks of 2**20 tokens."""
+    return mix(table(spark, sf_dir, "documents"), repetition=2.0)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in sequences of at most 4096."""
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID, SEQUENCE)
@@ -41,6 +60,10 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the least doc_id of its near-duplicate group."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "n_links")
@@ -56,10 +79,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op8_probminhash": op8_probminhash,
-    "op9_cross_polytope": op9_cross_polytope,
-    "op10_language_id": op10_language_id,
+    "op1_url_trust": op1_url_trust,
+    "op2_licence_scan": op2_licence_scan,
+    "op3_temperature_mixing": op3_temperature_mixing,
     "op4_packing": op4_packing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jump_sharding": op6_jump_sharding,
+    "op7_quality_cascade": op7_quality_cascade,
+    "op8_probminhash": op8_probminhash,
+    "op9_cross_polytope": op9_cross_polytope,
+    "op10_language_id": op10_language_id,
 }
