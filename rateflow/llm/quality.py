@@ -47,7 +47,7 @@ def rules() -> list[Rule]:
     return [
         Rule("symbols", _share(F.col("n_symbols"), words, 10), one),
         Rule("word_length", (F.col("word_chars") < words * 2) | (F.col("word_chars") > words * 15), one),
-        Rule("duplicate_lines", _share(F.col("n_dup_lines"), lines, 30), one),
+        Rule("duplicate_lines", _share(F.col("n_dup_lines"), lines, 60), one),
         Rule("few_letters", ~_share(letters, words, 70), words),
         Rule("loud", _share(loud, words, 60), words),
         Rule("bullets", _share(bullets, lines, 90), lines),
