@@ -7,13 +7,14 @@ register's first. Two documents agree in a register with the probability Jaccard
 weights. Documents that agree in a whole band of registers share a bucket, and candidates are
 verified with their exact probability Jaccard of at least ``threshold``.
 
-Without all pairs: equal word sequences are one node (64-bit hash) first. In a bucket every
-node is compared with a few leaders (the least nodes not yet settled). Nodes found similar to
-a leader are settled; the rest go on with new leaders until none is left. Buckets in which
-many are left are refined by a second band, since similar documents share several bands. So
-the pairs grow with a bucket's size, not its square, no node or candidate is dropped, and
-small buckets are compared in full. A link is missed only if neither end ever leads, both are
-settled by different leaders, and that holds in every band that they share.
+Without all pairs: equal word sequences are one node (64-bit hash) first. In small buckets (8
+nodes) all pairs are verified. In larger ones all nodes are compared with two leaders; those
+similar to one are settled. Where few (32) are left, these are compared with the whole bucket.
+Where more are left, the bucket is split by each of the next four bands, since similar
+documents share several bands and others hardly do, and the two steps are repeated. So the
+pairs grow with a bucket's size, not its square. A link is missed only if its ends share no
+band, or if all the buckets that they share have more than 32 unsettled nodes after that, or
+settle both ends by different leaders.
 
 Groups are the connected components of the verified links.
 
@@ -38,8 +39,10 @@ from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
 
 BANDS, ROWS = 20, 5
 LEADERS = 2
-#: Unsettled nodes from which a bucket is refined by a second band.
-REFINE = 64
+#: Unsettled nodes up to which all of them meet all of their bucket, round by round.
+COMPLETE = (8, 32, 32)
+#: Bands by which a bucket with more unsettled nodes is split after the first round.
+NEXT = 4
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -117,7 +120,7 @@ def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
 def _verify(threshold: float):
     def run(batches):
         for batch in batches:
-            same = [probability_jaccard(_weighted(x), _weighted(y)) >= threshold for x, y in zip(
+            same = [probability_jaccard(_weighted(x), _weighted(y), threshold) >= threshold for x, y in zip(
                 batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
 
@@ -127,47 +130,53 @@ def _verify(threshold: float):
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     x = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     y = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b")
+    # a given count: few bytes, but much work, would be merged into one task
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").repartition(tasks, "a").sortWithinPartitions("a")
     return both.mapInArrow(_verify(threshold), "a long, b long, same boolean")
 
 
+def _chosen(open_: DataFrame, complete: int, seed: int) -> DataFrame:
+    """The nodes of each bucket that meet all others: every unsettled one if they are at most
+    ``complete``, else ``LEADERS`` of them by a hash of their own for each bucket."""
+    by_hash = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node", F.lit(seed)), "node")
+    some = open_.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= complete + 1)
+    some = some.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))  # complete + 1 rows at most
+    return some.filter((F.col("n") <= complete) | (F.col("place") <= LEADERS)).select("bucket", F.col("node").alias("other"))
+
+
 def _refined(members: DataFrame, open_: DataFrame, bands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members and unsettled nodes with buckets of many unsettled nodes split by a second band."""
-    large = open_.groupBy("bucket").count().filter(F.col("count") > REFINE).select("bucket")
-    split = (
-        members.join(large, "bucket").join(bands, "node")
-        .select((F.xxhash64("bucket", "band")).alias("part"), "bucket", "node").filter(F.col("bucket") != F.col("part"))
-    )
+    """Members and unsettled nodes with the buckets of many unsettled nodes split by each of the
+    next ``NEXT`` bands."""
+    large = open_.groupBy("bucket").count().filter(F.col("count") > COMPLETE[1]).select("bucket")
+    at = F.array_position("bands", F.col("bucket"))
+    parts = F.array(*[F.xxhash64("bucket", F.get("bands", (at - 1 + i) % BANDS)) for i in range(1, NEXT + 1)])
+    split = members.join(large, "bucket").join(bands, "node").select("bucket", "node", F.explode(parts).alias("part"))
     opened = split.join(open_, ["bucket", "node"]).select(F.col("part").alias("bucket"), "node")
-    return (
-        members.join(large, "bucket", "left_anti").unionByName(split.select(F.col("part").alias("bucket"), "node")).distinct(),
-        open_.join(large, "bucket", "left_anti").unionByName(opened).distinct(),
-    )
+    left = open_.join(large, "bucket", "left_anti").unionByName(opened)
+    return members.unionByName(split.select(F.col("part").alias("bucket"), "node")), left
 
 
 def _links(members: DataFrame, bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a < b) of nodes that share a bucket, by rounds of leaders."""
-    open_, tested, rounds = members, None, 0
-    least = Window.partitionBy("bucket").orderBy("node")
-    while True:
-        rounds += 1
-        leaders = written(
-            open_.withColumn("place", F.row_number().over(least)).filter(F.col("place") <= LEADERS)
-            .select("bucket", F.col("node").alias("leader")), "leaders")
-        met = members.join(leaders, "bucket").filter(F.col("node") != F.col("leader")).select(
-            "bucket", "node", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    """Verified pairs (a < b) of nodes that share a bucket."""
+    open_, tested = members, None
+    for i, complete in enumerate(COMPLETE):
+        chosen = written(_chosen(open_, complete, i), "chosen")
+        met = members.join(chosen, "bucket").filter(F.col("node") != F.col("other")).select(
+            "bucket", "node", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         pairs = met.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         new = written(_verified(pairs, texts, threshold), "pairs")
         tested = new if tested is None else tested.unionByName(new)
-        settled = met.join(tested.filter("same"), ["a", "b"], "left_semi").select("bucket", "node").union(
-            leaders.select("bucket", "leader")).distinct()
-        open_ = written(open_.join(settled, ["bucket", "node"], "left_anti"), "open")
-        if open_.isEmpty():
-            return tested.filter("same")
-        if rounds == 1:
+        settled = met.join(tested.filter("same"), ["a", "b"], "left_semi").select("bucket", "node").union(chosen)
+        if i + 1 < len(COMPLETE):
+            open_ = written(open_.join(settled.distinct(), ["bucket", "node"], "left_anti"), "open")
+            if open_.isEmpty():
+                break
+        if i == 0:
             members, open_ = (written(x, "refined") for x in _refined(members, open_, bands))
+    return tested.filter("same")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -182,7 +191,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     some = written(
         texts.select("text").mapInArrow(_with_node, "node long, text string")
         .join(needed, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    links = written(_links(members, members.select("node", F.col("bucket").alias("band")), some, threshold), "links")
+    keys = signed.select("node", "bands").join(needed, "node", "left_semi").dropDuplicates(["node"])
+    links = written(_links(members, written(keys, "keys"), some, threshold), "links")
     labels = components(links)
     counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     placed = (

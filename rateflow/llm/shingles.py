@@ -44,19 +44,26 @@ def shingles(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(h, return_counts=True)
 
 
-def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], at_least: float = 0.0) -> float:
     """Probability Jaccard of two weighted sets: the sum over common elements d of
     1 / sum over e of max(x_e / x_d, y_e / y_d). It is 1 for equal weights (up to a factor) and
-    the plain Jaccard for sets."""
+    the plain Jaccard for sets. Values certainly below ``at_least`` are given as 0."""
     if not len(x[0]) or not len(y[0]):
         return 0.0
-    all_ = np.union1d(x[0], y[0])
-    a, b = np.zeros(len(all_)), np.zeros(len(all_))
-    a[np.searchsorted(all_, x[0])] = x[1]
-    b[np.searchsorted(all_, y[0])] = y[1]
-    both = (a > 0) & (b > 0)
-    ratios, members = np.unique(a[both] / b[both], return_inverse=True)
-    total = 0.0
-    for i, ratio in enumerate(ratios):  # few: the weights are small whole numbers
-        total += a[both][members == i].sum() / np.maximum(a, b * ratio).sum()
-    return float(total)
+    a, b = x[1] / x[1].sum(), y[1] / y[1].sum()
+    at = np.minimum(np.searchsorted(y[0], x[0]), len(y[0]) - 1)
+    both = y[0][at] == x[0]
+    mine, theirs = a[both], b[at[both]]
+    if np.minimum(mine, theirs).sum() < at_least:  # a bound: each sum over e is 1 / min at least
+        return 0.0
+    # sum over e of max(a_e, t * b_e) at each common ratio t, by sums over sorted ratios
+    alone = np.ones(len(b), bool)
+    alone[at[both]] = False
+    ratio = mine / theirs
+    order = np.argsort(ratio)
+    ratio, mine, theirs = ratio[order], mine[order], theirs[order]
+    lower = np.concatenate(([0.0], np.cumsum(theirs)))
+    upper = np.concatenate(([0.0], np.cumsum(mine)))
+    below = np.searchsorted(ratio, ratio)
+    total = a[~both].sum() + (upper[-1] - upper[below]) + ratio * (lower[below] + b[alone].sum())
+    return float((mine / total).sum())

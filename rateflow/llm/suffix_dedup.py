@@ -15,8 +15,9 @@ never sorted beyond that depth. The digits of the radix sort, most significant f
 
 Hot groups: a map batch sends each anchor once with its members' places, and each distinct
 context once (copies later in the batch are known to be repeated). An anchor found more than
-``HOT`` times, such as the edge of a passage shared by a third of all documents, is dealt
-out by the bytes of each single window instead, so that no task gets all of its rows.
+2048 times, such as the edge of a passage shared by a third of all documents, is dealt out in
+parts of eight windows, by the bytes that these have in common, and beyond 131,072 times by
+each single window, so that no task gets all of its rows.
 
 Order: smaller ``doc_id`` first (null first), then the document's 64-bit key, then start.
 Defined cases: null text is empty; documents shorter than ``depth`` are kept whole; rows that
@@ -37,8 +38,9 @@ from pyspark.sql import functions as F
 from rateflow.llm.common import doc_key
 
 GRAM = 32
-#: Occurrences from which an anchor's windows are dealt out singly.
-HOT = 2048
+#: Occurrences above which an anchor's windows are dealt out in parts, and by how many windows a
+#: part has (0: not dealt out).
+HOT, WIDTHS = (2048, 1 << 17), (0, 8, 1)
 #: Window starts worked on at once within one document.
 SEGMENT = 1 << 20
 _POS = np.uint64((1 << 24) - 1)
@@ -126,9 +128,9 @@ def _anchor_rows(depth: int):
     return run
 
 
-def _repeated_places(hot: int):
+def _repeated_places(hot: tuple[int, int]):
     """Reduce step over rows sorted by hash: the places of anchors found more than once, as
-    ``2 * position + is_hot``."""
+    ``4 * position + heat``, heat being how many of the limits ``hot`` are passed."""
     schema = pa.schema([("k", pa.int64()), ("code", pa.int64())])
 
     def places(h, k, a, more):
@@ -140,10 +142,10 @@ def _repeated_places(hot: int):
         for i, x in got.items():
             extra[i] = len(x)
         total = np.repeat(np.add.reduceat(extra, bounds) + size, size)
-        is_hot = (total > hot).astype(np.int64)
+        heat = (total > hot[0]).astype(np.int64) + (total > hot[1])
         keep = total > 1
-        outs = [(k[keep], a[keep] * 2 + is_hot[keep])]
-        outs += [(x["k"], x["a"] * 2 + is_hot[i]) for i, x in got.items()]
+        outs = [(k[keep], a[keep] * 4 + heat[keep])]
+        outs += [(x["k"], x["a"] * 4 + heat[i]) for i, x in got.items()]
         return pa.record_batch([np.concatenate([o[0] for o in outs]), np.concatenate([o[1] for o in outs])], schema=schema)
 
     def run(batches):
@@ -168,10 +170,26 @@ def _repeated_places(hot: int):
 _CONTEXT = pa.schema([("key", pa.int64()), ("reach", pa.int32()), ("context", pa.binary()), ("doc_id", pa.int64()), ("k", pa.int64()), ("start", pa.int64()), ("known", pa.int64())])
 
 
+def _parts(raw: bytes, depth: int, at: int, lo: int, hi: int, hash_: int, width: int):
+    """The windows from ``lo`` to ``hi`` of the anchor at ``at``, as (shuffle key, first, last).
+
+    ``width`` 0: all under the anchor's hash. Else in parts of ``width`` offsets from the anchor,
+    keyed by the bytes that all windows of the part have in common."""
+    if not width:
+        yield hash_, lo, hi
+        return
+    for part in range((at - hi) // width, (at - lo) // width + 1):
+        near, far = at - part * width, at - part * width - width + 1
+        key = xxhash.xxh64_intdigest(raw[near:far + depth], seed=part) - (1 << 63)
+        yield key, max(lo, far), min(hi, near)
+
+
 def _contexts(depth: int):
-    """Map step: for each repeated anchor the bytes of its windows; windows one by one where it
-    is hot. A context that the batch has already (in the document order) comes back as known:
-    ``known`` is then its length, all of it repeated."""
+    """Map step: for each repeated anchor the bytes of its windows, dealt by ``WIDTHS``.
+
+    A context that the batch has already (in the document order) is known to be repeated:
+    such spans are merged within their document, and sent without bytes (``known`` is the
+    length) under their document's key."""
 
     def run(batches):
         for batch in batches:
@@ -183,29 +201,27 @@ def _contexts(depth: int):
             for i in np.lexsort((keys, ids)):
                 data, code = texts[i], np.sort(np.asarray(codes[int(i)].values))
                 a, h, first, last = anchors(data, depth)
-                at = np.searchsorted(a, code >> 1)
+                found = np.searchsorted(a, code >> 2)
                 raw, key, doc = data.tobytes(), int(keys[i]), int(ids[i])
-                for j, is_hot in zip(at.tolist(), (code & 1).tolist(), strict=True):
-                    lo, hi, hash_ = int(first[j]), int(last[j]), int(h[j].view(np.int64))
-                    spans = [(p, p) for p in range(lo, hi + 1)] if is_hot else [(lo, hi)]
-                    for p, q in spans:
+                known: list[list[int]] = []
+                for j, heat in zip(found.tolist(), (code & 3).tolist(), strict=True):
+                    at, hash_ = int(a[j]), int(h[j].view(np.int64))
+                    spans = _parts(raw, depth, at, int(first[j]), int(last[j]), hash_, WIDTHS[heat])
+                    for shared, p, q in sorted(spans, key=lambda s: s[1]):
                         context = raw[p:q + depth]
-                        reach = int(a[j]) - p
-                        shared = _window_key(context, hash_) if is_hot else hash_
-                        before = seen.setdefault((shared, reach, context), (key, p))
-                        known = len(context) if before != (key, p) else 0
-                        out.append((key if known else shared, reach, b"" if known else context, doc, key, p, known))
+                        if seen.setdefault((shared, at - p, context), (key, p)) == (key, p):
+                            out.append((shared, at - p, context, doc, key, p, 0))
+                        elif known and p <= known[-1][1]:
+                            known[-1][1] = max(known[-1][1], q + depth)
+                        else:
+                            known.append([p, q + depth])
+                out.extend((key, 0, b"", doc, key, s, e - s) for s, e in known)
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _CONTEXT.types, strict=True)], schema=_CONTEXT)
 
     return run
 
 
-def _window_key(window: bytes, anchor: int) -> int:
-    """Shuffle key of one window: stable in every process, unlike ``hash``."""
-    return xxhash.xxh64_intdigest(window, seed=anchor & 0x7FFFFFFF) - (1 << 63)
-
-
 def _radix_repeats(rows: list[tuple], depth: int) -> Iterator[tuple[int, int, int]]:
     """Repeated spans (k, start, end) among whole groups of (key, reach, context, doc_id, k,
     start)."""
@@ -311,7 +327,7 @@ def _cut(batches):
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["_k", "doc_id", "n_bytes", "spans", "kept"])
 
 
-def repeated_spans(docs: DataFrame, depth: int = 100, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``_k`` (``doc_key``), ``n_bytes``, ``spans`` (the
     maximal removed byte runs, in order) and ``kept`` (the bytes that stay)."""
     base = docs.select(doc_key().alias("k"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
