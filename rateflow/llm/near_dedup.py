@@ -54,7 +54,8 @@ def _mix(z: np.ndarray) -> np.ndarray:
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS * ROWS) -> np.ndarray:
-    """ProbMinHash signature (one row of shingle hashes) of each weighted set; 0 where empty."""
+    """ProbMinHash signature (one row of shingle hashes) of each weighted set; 0 where empty.
+    At most 2048 registers: 11 bits of each draw choose one."""
     first = np.full((len(sets), registers), np.inf)
     owner = np.zeros((len(sets), registers), np.uint64)
     doc = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
