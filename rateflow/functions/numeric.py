@@ -34,17 +34,22 @@ def abs_pct_change_expr(
     prev: Column | str,
     precision: int = 10,
     scale: int = 4,
-    work: str = "decimal(18,4)",
+    work: str = "decimal(18,8)",
 ) -> Column:
     """``CAST(ROUND(COALESCE(ABS((x - prev) / NULLIF(prev, 0) * 100), 0), 4) AS DECIMAL(p, 4))``.
 
-    Computed in exact decimal arithmetic at ``work`` width, so rounding is half-up on the
-    exact quotient. ``NULLIF`` is required: ANSI mode raises on division by zero.
+    Decimals are computed in exact decimal arithmetic at ``work`` width (inputs of up to 8
+    places are not rounded), so rounding is half-up on the exact quotient. Doubles stay doubles
+    and only the result is rounded. ``NULLIF`` is required: ANSI mode raises on division by zero.
     """
-    x = _c(cur).cast(work)
-    p = _c(prev).cast(work)
-    pct = F.abs((x - p) * F.lit(100).cast("decimal(3,0)") / F.nullif(p, F.lit(0).cast(work)))
-    return fixed(pct, precision, scale)
+    x, p = _c(cur), _c(prev)
+    xd, pd = x.cast(work), p.cast(work)
+    exact = F.abs((xd - pd) * F.lit(100).cast("decimal(3,0)") / F.nullif(pd, F.lit(0).cast(work)))
+    xf, pf = x.cast("double"), p.cast("double")
+    double = round_double(F.coalesce(F.abs((xf - pf) / F.nullif(pf, F.lit(0.0)) * 100), F.lit(0.0)), scale)
+    # the type is known when the plan is made, so only one branch is left in it
+    return F.when(F.typeof(x).isin("double", "float"), double.cast(f"decimal({precision},{scale})")).otherwise(
+        fixed(exact, precision, scale))
 
 
 def round_double(x: Column | str, scale: int = 4, guard: int = 11) -> Column:

@@ -28,7 +28,9 @@ def harmonize_pivot(df: DataFrame, ids: Sequence[str], series: str = "series_id"
     two-phase aggregation).
     """
     s = F.col(series)
-    return df.groupBy(F.col(date).alias(out_date)).agg(
+    # a date that only other series have makes no row
+    listed = df.filter(s.isin([*ids]))
+    return listed.groupBy(F.col(date).alias(out_date)).agg(
         *[F.max(F.when(s == F.lit(i), F.col(value))).alias(i) for i in ids]
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, DecimalType, StringType, StructField, St
 from rateflow.functions.arrays import forward_fill_array
 from rateflow.functions.numeric import round_double, usd_conversion
 from rateflow.functions.sql import register_sql_functions
-from rateflow.functions.strings import base_name, route_frequency, series_from_path, strip_prefix
+from rateflow.functions.strings import base_name, route_frequency, series_from_partition_dir, series_from_path, strip_prefix
 from rateflow.operators.fill import (
     date_spine,
     forward_fill,
@@ -140,7 +140,9 @@ def scan_csv_infer(spark, sf):
 
 def list_source_files_q(spark, sf):
     path = _landed_csv(spark, sf)
-    return list_source_files(spark.read.option("header", True).option("recursiveFileLookup", True).csv(path))
+    files = list_source_files(spark, path)
+    return files.groupBy(series_from_partition_dir("file_path").alias("series_id")).agg(
+        F.bool_and(F.col("file_size") > 0).alias("all_filled"))
 
 
 def series_from_path_q(spark, sf):
@@ -364,7 +366,7 @@ def _month_blocks(spark, sf):
 
 def series_array_agg(spark, sf):
     b = _month_blocks(spark, sf)
-    return b.select("series_id", "month", F.transform("_rows", lambda r: r["value"]).alias("vals"))
+    return b.select("series_id", "month", F.transform("_rows", lambda r: r["value"].cast("double")).alias("vals"))
 
 
 def rows_to_objects(spark, sf):

@@ -2,7 +2,7 @@
 
 ``refresh_metrics`` is the one callable job: it loads the raw long table (NULL -> 0 at
 load), writes the harmonized daily and monthly tables, guards that they exist, writes the
-metrics skeletons and fills them with an update-join, and returns a status string.
+metrics tables in one pass each, and returns a status string.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.operators.harmonize import harmonize, weekly_observations
-from rateflow.operators.metrics import metrics_skeleton, wide_metrics
+from rateflow.operators.metrics import wide_metrics
 from rateflow.session import shared_dir
 from rateflow.sinks.tables import (
     assert_unique,
@@ -20,7 +20,6 @@ from rateflow.sinks.tables import (
     ensure_layers,
     guard_tables,
     null_to_zero,
-    update_from,
 )
 
 
@@ -51,15 +50,14 @@ def metric_columns(rates: list[str]) -> list[str]:
     return [f"rate_change_percent_{c.lower()}" for c in rates] + [f"volatility_{c.lower()}" for c in rates]
 
 
-def build_metrics(raw: DataFrame, f: Frequency, missing: str = "zero") -> tuple[DataFrame, DataFrame]:
-    """Harmonized wide table and its metrics table for one frequency. Weekly series are the
-    daily ones taken at the last observation of each week."""
+def build_harmonized(raw: DataFrame, f: Frequency, missing: str = "zero") -> DataFrame:
+    """Harmonized wide table of one frequency. Weekly series are the daily ones taken at the last
+    observation of each week."""
     if f.name == "WEEKLY":
         obs = weekly_observations(raw.filter(raw.freq == "DAILY").select("series_id", "date", "value"))
     else:
         obs = raw.filter(raw.freq == f.name)
-    wide = harmonize(obs, f.ids, f.convert, fill=f.fill, missing=missing, out_date=f.date_col)
-    return wide, wide_metrics(wide, f.date_col, f.rates)
+    return harmonize(obs, f.ids, f.convert, fill=f.fill, missing=missing, out_date=f.date_col)
 
 
 def refresh_metrics(
@@ -81,17 +79,14 @@ def refresh_metrics(
     if check_unique:
         assert_unique(raw_t, ["series_id"], "date")
     for f in freqs:
-        wide, _ = build_metrics(raw_t, f, missing=missing)
+        wide = build_harmonized(raw_t, f, missing=missing)
         create_table_as(wide, names[f"{f.name}_harmonized"], f"{root}/{f.name.lower()}_harmonized")
     guard_tables(spark, [names[f"{f.name}_harmonized"] for f in freqs])
     for f in freqs:
         wide = spark.table(names[f"{f.name}_harmonized"])
-        rates = wide.select(f.date_col, *f.rates)
-        skeleton = metrics_skeleton(rates, f.date_col, f.rates)
-        tmp = wide_metrics(rates, f.date_col, f.rates)
-        filled = update_from(skeleton, tmp, f.date_col, metric_columns(f.rates))
-        create_table_as(filled, names[f"{f.name}_metrics"], f"{root}/{f.name.lower()}_metrics")
-    return "Data metrics updated successfully."
+        metrics = wide_metrics(wide.select(f.date_col, *f.rates), f.date_col, f.rates)
+        create_table_as(metrics, names[f"{f.name}_metrics"], f"{root}/{f.name.lower()}_metrics")
+    return "Metric tables are up to date."
 
 
 def frequencies_for(ids_by_freq: dict[str, list[str]], convert: list[str] = (),
@@ -126,8 +121,6 @@ def refresh_from_files(
     then ``refresh_metrics``. The wide tables need the series ids as column names; when
     ``ids_by_freq`` is not given they are found with one distinct query (one row per series,
     bounded by the number of series, not by the data)."""
-    from pyspark.sql import functions as F
-
     from rateflow.sources.files import read_series_csv, with_frequency
 
     raw = with_frequency(read_series_csv(spark, path, series_from="file"))
@@ -135,6 +128,6 @@ def refresh_from_files(
         ids_by_freq = {}
         for r in raw.select("freq", "series_id").distinct().orderBy("freq", "series_id").collect():
             ids_by_freq.setdefault(r.freq, []).append(r.series_id)
-    raw = raw.select("series_id", "freq", "date", F.col("value").cast("decimal(18,4)").alias("value"))
+    raw = raw.select("series_id", "freq", "date", "value")  # at the files' own precision
     freqs = frequencies_for(ids_by_freq, list(convert), weekly=weekly)
     return refresh_metrics(spark, raw, freqs, env=env, root=root, missing=missing)

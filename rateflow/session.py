@@ -33,10 +33,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a fresh local one only when unset (tests)."""
+    """The cluster's shared checkpoint folder. A fresh local folder is made only if none is set and
+    the master is local (tests); on a cluster an unset folder is an error."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rateflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

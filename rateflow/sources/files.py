@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -39,6 +39,22 @@ def _pick(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("string")
 
 
+def _by_own_header(reader: DataFrameReader, path: str | Sequence[str], width: int = 32) -> DataFrame:
+    """``date`` and ``value`` as text, with ``_metadata``, each matched by its own file's header line (of at
+    most ``width`` columns). The header lines are one small row per file, found in a scan of
+    their own; files without such a line give no rows."""
+    lines = reader.option("header", False).schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)
+    cells = F.array(*[F.lower(F.trim(f"_c{i}")) for i in range(width)])
+    lines = lines.withColumns({"_at_d": F.array_position(cells, "date"), "_at_v": F.array_position(cells, "value"),
+                               "_file": F.col("_metadata.file_path")})
+    is_header = (F.coalesce("_at_d", F.lit(0)) > 0) & (F.coalesce("_at_v", F.lit(0)) > 0)
+    headers = lines.filter(is_header).groupBy("_file").agg(F.min("_at_d").alias("d"), F.min("_at_v").alias("v"))
+    raw = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    rows = lines.filter(~is_header).select("_file", raw.alias("_cells"), F.col("_metadata").alias("_metadata"))
+    return rows.join(headers, "_file").select(
+        F.get("_cells", (F.col("d") - 1).cast("int")).alias("date"), F.get("_cells", (F.col("v") - 1).cast("int")).alias("value"), "_metadata")
+
+
 def read_series_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -70,7 +86,7 @@ def read_series_csv(
         reader = reader.option("inferSchema", True)
     else:
         reader = reader.option("inferSchema", False)
-    raw = reader.csv(path)
+    raw = reader.csv(path) if infer else _by_own_header(reader, path)
     sid = _series_col(series_from)
     cols: list[Column] = []
     if sid is not None:
@@ -86,7 +102,6 @@ def read_series_csv(
             "*",
             null_if_marker(_pick(raw, "date"), null_markers).alias("_rf_d"),
             null_if_marker(_pick(raw, "value"), null_markers).alias("_rf_v"),
-            F.col("_metadata"),
         )
     return raw.select(*cols)
 
@@ -148,10 +163,11 @@ def filter_date_range(df: DataFrame, date: str = "date", start: str | None = Non
     return df.filter(cond)
 
 
-def list_source_files(df: DataFrame) -> DataFrame:
-    """``LIST @stage``: one row per file behind a file-based DataFrame (path, name, size)."""
-    return df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).distinct()
+def list_source_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``LIST @stage``: one row per file below ``path`` (path, name, size), also those with
+    a header only. Only the listing is read, no file's contents. Spark's readers leave out
+    files of no bytes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("length").alias("file_size"))

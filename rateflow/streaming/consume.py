@@ -4,8 +4,9 @@ A table's change stream is a file-source stream over its folder plus a checkpoin
 checkpoint remembers which files were consumed, so each run sees only new files.
 
 - ``initial_rows=True``: a new checkpoint over existing files emits them first.
-- ``initial_rows=False`` (append-only, no initial rows): the existing files are drained once
-  through a batch function that does nothing, then the real consumer starts from there.
+- ``initial_rows=False`` (append-only, no initial rows): the existing files, if any, are drained
+  once through a batch function that does nothing; a marker beside the checkpoint then says
+  that the stream is created, and the real consumer starts from there.
 
 Every run uses ``trigger(availableNow=True)``: it processes what is there and stops, so a
 daily scheduler (or a test) can call it like a batch job. Sinks write each micro-batch to
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,12 +50,15 @@ def run_available(stream: DataFrame, checkpoint: str, fn: BatchFn) -> None:
         raise q.exception()
 
 
-def _has_offsets(spark: SparkSession, checkpoint: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(checkpoint + "/offsets")
-    fs = p.getFileSystem(conf)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+def _started(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the stream without initial rows has been created, by its marker."""
+    try:
+        spark.read.schema("id long").parquet(f"{checkpoint}-started").limit(1).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def consume(
@@ -65,8 +70,11 @@ def consume(
     initial_rows: bool = True,
 ) -> None:
     """One run of a consumer of ``source``'s change stream."""
-    if not initial_rows and not _has_offsets(spark, checkpoint):
+    if not initial_rows and not _started(spark, checkpoint):
         run_available(change_stream(spark, source, schema), checkpoint, lambda df, i: None)
+        # only now: a drain that broke off is drained again, and an empty source, which makes no
+        # batch and so no offset, is not drained a second time
+        spark.range(1).write.mode("overwrite").parquet(f"{checkpoint}-started")
     run_available(change_stream(spark, source, schema), checkpoint, fn)
 
 

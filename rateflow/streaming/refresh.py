@@ -29,23 +29,25 @@ def refresh_batch(spark: SparkSession, raw_path: str, metrics_path: str, missing
 
     Both stores are partitioned by a hash bucket of the series id (not by series: millions
     of series would mean millions of folders). Every series of a touched bucket is
-    recomputed from the whole raw store; the semi join on ``bucket`` lets the scan skip the
-    other bucket folders.
+    recomputed from its raw rows; the scan is filtered to the touched buckets' folders. Within a
+    batch the greater value of a day wins, and a later batch wins over an earlier one.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("bucket", series_bucket("series_id", buckets))
         # one folder per batch id, overwritten on retry: a replayed batch is not appended twice
-        b.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+        b.repartition("bucket", "series_id").write.mode("overwrite").partitionBy("bucket").parquet(
             f"{raw_path}/batch={batch_id}")
-        touched = b.select("bucket").distinct()
-        raw = spark.read.parquet(raw_path).select("bucket", "series_id", "date", "value")
-        sub = raw.join(touched, "bucket", "left_semi").drop("bucket")
+        # at most ``buckets`` numbers, as literals: the scan skips the other buckets' folders
+        touched = [r.bucket for r in b.select("bucket").distinct().collect()]
+        raw = spark.read.parquet(raw_path).filter(F.col("bucket").isin(touched))
+        # a day that is restated takes its value from the newest batch
+        sub = raw.groupBy("series_id", "date").agg(F.max_by("value", F.struct("batch", "value")).alias("value"))
         filled = gap_fill(sub, ["series_id"], "date", "value", missing=missing, block_days=block_days)
         metrics = series_metrics(filled, ["series_id"], "date", "value", block_days=block_days)
         (
             metrics.withColumn("bucket", series_bucket("series_id", buckets))
-            .repartition("bucket")
+            .repartition("bucket", "series_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")

@@ -77,3 +77,13 @@ def test_string_keys(spark):
 def test_null_markers(spark):
     df = spark.createDataFrame([(" . ",), ("NULL",), ("null",), ("",), (None,), (" 1.5 ",)], "v string")
     assert [r.v for r in df.select(null_if_marker("v").alias("v")).collect()] == [None] * 5 + ["1.5"]
+
+
+def test_change_keeps_the_inputs_precision(spark):
+    from pyspark.sql import functions as F
+
+    from rateflow.functions.numeric import abs_pct_change_expr
+
+    for kind in ("double", "decimal(18,8)"):
+        df = spark.range(1).select(F.lit("0.00674").cast(kind).alias("x"), F.lit("0.00671").cast(kind).alias("p"))
+        assert str(df.select(abs_pct_change_expr("x", "p").alias("c")).collect()[0].c) == "0.4471"

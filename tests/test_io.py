@@ -37,7 +37,7 @@ def test_csv_infer_schema(spark, tmp):
 def test_list_source_files(spark, tmp):
     write(f"{tmp}/A.csv", "date,value\n2020-01-01,1\n")
     write(f"{tmp}/B.csv", "date,value\n2020-01-01,2\n2020-01-02,3\n")
-    files = list_source_files(spark.read.option("header", True).csv(tmp)).collect()
+    files = list_source_files(spark, tmp).collect()
     assert sorted(r.file_name for r in files) == ["A.csv", "B.csv"]
     assert all(r.file_size > 0 for r in files)
 
@@ -83,3 +83,12 @@ def test_assert_unique(spark):
     assert_unique(ok)
     with pytest.raises(ValueError):
         assert_unique(ok.union(ok.limit(1)))
+
+
+def test_each_file_is_matched_by_its_own_header(spark, tmp):
+    write(f"{tmp}/A.csv", "date,value\n2020-01-01,1.5\n")
+    write(f"{tmp}/B.csv", "VALUE,extra,Date\n2.25,x,2020-01-02\n.,y,2020-01-03\n")
+    write(f"{tmp}/C.csv", "date,value\n")
+    rows = {(r.series_id, str(r.date)): r.value for r in read_series_csv(spark, tmp).collect()}
+    assert rows == {("A", "2020-01-01"): 1.5, ("B", "2020-01-02"): 2.25, ("B", "2020-01-03"): None}
+    assert {r.file_name for r in list_source_files(spark, tmp).collect()} == {"A.csv", "B.csv", "C.csv"}

@@ -67,3 +67,28 @@ def test_late_row_in_old_history_equals_batch(spark, tmp):
     got = sorted(tuple(r) for r in read_metrics(spark, met).collect())
     want = sorted(tuple(r) for r in series_metrics(gap_fill(first.union(late), missing="null")).collect())
     assert got == want and len(got) == 10
+
+
+def test_stream_without_initial_rows_may_start_on_an_empty_source(spark, tmp):
+    from rateflow.streaming.consume import append_to, consume, land
+
+    source, target, ckpt = f"{tmp}/in", f"{tmp}/out", f"{tmp}/ckpt"
+    rows = spark.createDataFrame([(1,), (2,)], "x long")
+    land(rows.limit(0), source)
+    consume(spark, source, rows.schema, ckpt, append_to(target, 0), initial_rows=False)
+    for run, x in ((1, [(1,)]), (2, [(2,)])):
+        land(spark.createDataFrame(x, "x long"), source)
+        consume(spark, source, rows.schema, ckpt, append_to(target, run), initial_rows=False)
+    assert sorted(r.x for r in spark.read.parquet(target).collect()) == [1, 2]
+
+
+def test_a_later_batch_restates_a_day(spark, tmp):
+    from rateflow.streaming.refresh import read_metrics, stream_refresh
+    from rateflow.streaming.consume import land
+
+    schema = spark.createDataFrame([], "series_id string, date date, value decimal(18,4)").schema
+    for day, value in (("2020-01-01", "2"), ("2020-01-01", "4"), ("2020-01-03", "5")):
+        land(spark.sql(f"SELECT 'S' AS series_id, DATE'{day}' AS date, CAST({value} AS DECIMAL(18,4)) AS value"), f"{tmp}/in")
+        stream_refresh(spark, f"{tmp}/in", schema, f"{tmp}/ckpt", f"{tmp}/raw", f"{tmp}/metrics")
+    got = [(str(r.date), float(r.value)) for r in read_metrics(spark, f"{tmp}/metrics").orderBy("date").collect()]
+    assert got == [("2020-01-01", 4.0), ("2020-01-02", 4.0), ("2020-01-03", 5.0)]
