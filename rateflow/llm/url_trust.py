@@ -85,10 +85,11 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     both = written(both.join(out, ["kind", "src"]).select(
         "kind", "src", F.col("dst").alias("host"), (F.col("weight") / F.col("out")).alias("part")), "edges")
-    total = seeds.agg(F.greatest(F.sum("allowed"), F.lit(1e-12)).alias("a"), F.greatest(F.sum("blocked"), F.lit(1e-12)).alias("b"))
-    start = seeds.crossJoin(F.broadcast(total)).select("host", F.inline(F.array(  # one row of totals
-        F.struct(F.lit("trust").alias("kind"), (F.col("allowed") / F.col("a")).alias("seed")),
-        F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / F.col("b")).alias("seed")))))
+    total = seeds.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).collect()[0]  # two numbers
+    allowed, blocked = (F.lit(max(x or 0.0, 1e-12)) for x in total)
+    start = seeds.select("host", F.inline(F.array(
+        F.struct(F.lit("trust").alias("kind"), (F.col("allowed") / allowed).alias("seed")),
+        F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / blocked).alias("seed")))))
     start = written(start.select("kind", "host", "seed"), "seeds")
     rank = start.select("kind", F.col("host").alias("src"), F.col("seed").alias("rank"))
     for i in range(rounds):
@@ -111,13 +112,11 @@ def judge(pages: DataFrame, rules: list[UrlRule] = RULES) -> DataFrame:
         "_ruled": match(F.col("host"), F.col("path"), rules, lambda r: r.verdict)})
     share = lambda verdict: F.avg(F.when(F.col("_ruled") == verdict, 1.0).otherwise(0.0))
     seeds = written(pages.filter("host != ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked")), "hosts")
-    ranks = propagate(written(host_edges(pages.select("host", "html")), "links"), seeds)
-    mean = ranks.agg((1 / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("mean"))
-    judged = ranks.crossJoin(F.broadcast(mean)).select(  # one row
-        "host", "trust", "distrust",
-        (F.round("distrust", 9) > F.round(F.greatest("trust", "mean"), 9)).alias("_bad"))
+    ranks = written(propagate(written(host_edges(pages.select("host", "html")), "links"), seeds), "ranks")
+    mean = F.lit(1 / max(ranks.count(), 1))
+    judged = ranks.select("host", "trust", "distrust", (F.round("distrust", 9) > F.round(F.greatest("trust", mean), 9)).alias("_bad"))
     return (
-        pages.drop("trust", "distrust").join(written(judged, "verdicts"), "host", "left")
+        pages.drop("trust", "distrust").join(judged, "host", "left")
         .withColumn("verdict", F.coalesce("_ruled", F.when(F.col("_bad"), "block").otherwise("allow")))
         .drop("_ruled", "_bad")
     )
