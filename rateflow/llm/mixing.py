@@ -70,7 +70,7 @@ def quotas(tokens: dict[str, int], repetition: float | None = 2.0, entropy: floa
 
 
 def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None = None, id_col: str = "doc_id",
-        block_tokens: int = 1 << 20, rows_per_range: int = 50_000) -> DataFrame:
+        block_tokens: int = 1 << 20, rows_per_range: int = 4096) -> DataFrame:
     """A row per drawn document: ``id_col``, ``source``, ``n_tokens``, ``epoch`` (pass, from 0),
     ``block`` and ``slot`` (place in the block, from 0)."""
     counted = docs.select(
