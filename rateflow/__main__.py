@@ -1,7 +1,7 @@
 """Command line for the daily job and the dashboard read.
 
     python -m rateflow refresh --input <folder of SERIES.csv> [--env dev] [--convert A,B] [--weekly]
-    python -m rateflow serve [--env dev] [--freq daily|weekly|monthly] [--group rates|changes|volatility] [-k 20]
+    python -m rateflow serve [--env dev] [--root <folder>] [--freq daily|weekly|monthly] [--group rates|changes|volatility] [-k 20]
 
 ``spark-submit`` supplies the cluster settings (including ``spark.checkpoint.dir``); the
 session is taken with ``getOrCreate()``. ``refresh`` prints the job's status line; ``serve``
@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None):
     s.add_argument("--env", default="dev")
     s.add_argument("--freq", default="daily", choices=["daily", "weekly", "monthly"])
     s.add_argument("--group", default="rates", choices=list(GROUPS))
+    s.add_argument("--root", default=None, help="the folder that refresh wrote to (default: by table name)")
     s.add_argument("-k", type=int, default=20)
     args = ap.parse_args(argv)
 
@@ -52,7 +53,10 @@ def main(argv: list[str] | None = None):
         print(status)
         return status
     freq = args.freq.upper()
-    table = spark.table(table_names(args.env)[f"{freq}_metrics"])
+    if args.root:  # by path: needs no catalog that outlives the session of the refresh
+        table = spark.read.parquet(f"{args.root.rstrip('/')}/{args.freq}_metrics")
+    else:
+        table = spark.table(table_names(args.env)[f"{freq}_metrics"])
     date_col = _DATE_COL[freq]
     out = serve_latest(table, date_col, _rates(table.columns, date_col), k=args.k, group=args.group)
     out.show(args.k, truncate=False)

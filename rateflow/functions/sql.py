@@ -10,7 +10,11 @@ from pyspark.sql import SparkSession
 
 
 def register_sql_functions(spark: SparkSession, precision: int = 35, scale: int = 4) -> list[str]:
-    """Register ``usd_conversion(rate)`` as a session SQL function; returns the names."""
+    """Register ``usd_conversion(rate)`` and ``forward_fill_array(values)`` as session SQL
+    functions; returns the names.
+
+    ``forward_fill_array`` gives each element the last one up to it that is neither NULL nor 0
+    (NULL before the first); it looks back from every element, so keep arrays short (a block)."""
     dec = f"DECIMAL({precision},{scale})"
     spark.sql(
         f"""
@@ -20,4 +24,12 @@ def register_sql_functions(spark: SparkSession, precision: int = 35, scale: int
                     ELSE CAST(1 / exchange_rate AS {dec}) END
         """
     )
-    return ["usd_conversion"]
+    spark.sql(
+        """
+        CREATE OR REPLACE TEMPORARY FUNCTION forward_fill_array(vals ARRAY<DOUBLE>)
+        RETURNS ARRAY<DOUBLE>
+        RETURN transform(vals, (x, i) -> try_element_at(
+            filter(slice(vals, 1, i + 1), y -> y IS NOT NULL AND y <> 0), -1))
+        """
+    )
+    return ["usd_conversion", "forward_fill_array"]

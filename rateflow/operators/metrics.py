@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.functions.numeric import abs_pct_change_expr, stddev_to_fixed
-from rateflow.operators.blocks import plain_scan, scan
+from rateflow.operators.blocks import scan
 from rateflow.operators.fill import _keys
 
 
@@ -62,6 +62,32 @@ def series_metrics(df: DataFrame, keys=("series_id",), date: str = "date", value
     )
 
 
+def _by_column(wide: DataFrame, date: str, cols: list[str]) -> DataFrame:
+    """``plain_scan`` of a wide table with one window per column instead of one for all.
+
+    Values keep their types: the long layout has a value column per type among ``cols``."""
+    types = dict(wide.dtypes)
+    kinds = sorted({types[c] for c in cols})
+    values = [f"_rf_v{i}" for i in range(len(kinds))]
+
+    def row(at: int, c: str) -> Column:
+        own = [F.col(f"`{c}`") if types[c] == k else F.lit(None).cast(k) for k in kinds]
+        return F.struct(F.lit(at).alias("_rf_at"), *[x.alias(v) for x, v in zip(own, values)])
+
+    long = wide.select(F.col(date), F.inline(F.array(*[row(i, c) for i, c in enumerate(cols)])))
+    one = F.coalesce(*[F.col(v).cast("double") for v in values])
+    # the double of whichever type the row has, for the deviation
+    s = scan(long.withColumn("_rf_d", one), ["_rf_at"], date, values, prev=True)
+    w = Window.partitionBy("_rf_at").orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = s.withColumn("_rf_sd", F.stddev_samp("_rf_d").over(w))
+    out: list[Column] = []
+    for i, c in enumerate(cols):
+        v = values[kinds.index(types[c])]
+        for x, name in ((v, c), (f"{v}__prev", f"{c}__prev"), ("_rf_sd", f"{c}__sd")):
+            out.append(F.max(F.when(F.col("_rf_at") == i, F.col(x))).alias(name))
+    return s.groupBy(date).agg(*out)
+
+
 def wide_metrics(
     wide: DataFrame,
     date: str,
@@ -78,13 +104,16 @@ def wide_metrics(
     Windows run over the union of dates in the wide table, so a series is NULL outside its
     own span: its change there is 0 and its volatility keeps the last value.
 
-    A wide table has one row per calendar date (about 365 a year) whatever the volume of
-    raw data behind it, so by default one ordered window runs over it: one shuffle, no
-    join. ``block_days`` switches to the blocked scan for very long date grids.
+    A wide table has one row per calendar date. By default its columns are laid out as rows,
+    the windows run per column (a task holds one column, never the whole table), and one
+    aggregate by date puts them side by side again: two shuffles, no join. ``block_days``
+    switches to the blocked scan for very long date grids.
     """
     cols = list(cols)
+    if not cols:
+        return wide.select(date)
     if block_days is None:
-        s = plain_scan(wide.select(date, *cols), [], date, cols, prev=True, moments=True)
+        s = _by_column(wide, date, cols)
     else:
         s = scan(wide.select(date, *cols), [], date, cols, block_days=block_days, prev=True,
                         moments=True)

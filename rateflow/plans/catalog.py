@@ -27,6 +27,9 @@ MONTHLY_RATES = rate_columns(MONTHLY_IDS, MONTHLY_CONVERT)
 # Output columns of the combined table: one per priority, fed by its daily and monthly series.
 COMBINED = {f"P{d[-1]}": [d, m] for d, m in zip(DAILY_IDS, MONTHLY_IDS)}
 
+# The sparse series that the example of a partial list harmonizes.
+LISTED = ["DP1_N00", "DP2_N07"]
+
 # Arrival split used by the stream examples: rows dated before it arrive first.
 ARRIVAL_CUTOFF = "1998-01-01"
 # Lower bound of the date-range filter example.

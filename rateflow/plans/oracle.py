@@ -224,6 +224,10 @@ def oracle_sql() -> dict[str, str]:
         "scan_csv_nullif": as_double,
         "scan_csv_quoted": as_double,
         "scan_csv_infer": as_double,
+        "inferred_schema_table": as_double,
+        "rejected_rows": f"SELECT series_id, date, 'n/a ' || CAST(date AS VARCHAR) AS value FROM {allo} a WHERE value IS NULL",
+        "load_without_rejects": f"{as_double} WHERE value IS NOT NULL",
+        "mixed_headers": f"SELECT series_id, date, CAST(value AS DOUBLE) + 0.0000125 AS value FROM {allo} a",
         "list_source_files": f"SELECT series_id, true AS all_filled FROM {allo} a GROUP BY 1",
         "series_from_path": f"SELECT series_id, count(*) AS n_rows FROM {allo} a GROUP BY 1",
         "route_frequency": f"SELECT series_id, CASE WHEN starts_with(series_id, 'D') THEN 'DAILY' ELSE 'MONTHLY' END "
@@ -264,7 +268,10 @@ JOIN (VALUES ('1', 'URGENT', DATE '1995-01-01', CAST(1.0000 AS DECIMAL(10,4))),
                                               "LEFT JOIN g_o o ON sp.series_id = o.series_id AND sp.date = o.date"),
         "harmonize_outer_join": filled_priority,
         "harmonize_pivot": filled_priority,
+        "harmonize_listed": pivot_select(f"({SPARSE}) s", C.LISTED, "DDATE").replace(
+            " GROUP BY date", " WHERE series_id IN (" + ", ".join(f"'{i}'" for i in C.LISTED) + ") GROUP BY date"),
         "combined_currency": combined,
+        "combined_currency_table": f"SELECT date, {', '.join(C.COMBINED)} FROM ({combined}) c",
         # aggregates
         "series_span": f"""SELECT series_id, min(date) AS min_date, max(date) AS max_date,
   CAST(date_diff('day', min(date), max(date)) AS BIGINT) AS day_diff,
@@ -325,6 +332,12 @@ FROM (SELECT series_id, lo, unnest(generate_series(0, date_diff('day', lo, hi)))
         "refresh_metrics": metrics_sql("DAILY"),
         # streams
         "stream_append_only": f"SELECT series_id, date, value FROM {daily} d WHERE date >= {cut}",
+        "stream_empty_start": f"SELECT series_id, date, value FROM {daily} d",
+        "stream_restated": with_(
+            ("s", f"SELECT series_id, date, CAST(CASE WHEN day(date) = 1 THEN value * 2 ELSE value END AS DECIMAL(18,4)) "
+                  f"AS value FROM {daily} d"),
+            *gap_fill_ctes("s", "null"), select=long_metrics_select("g")),
+        "stream_harmonized_monthly": harmonized_sql("MONTHLY"),
         "stream_initial_rows": f"SELECT CASE WHEN date < {cut} THEN 0 ELSE 1 END AS run, series_id, date, value FROM {daily} d",
         "stream_pending_count": f"SELECT CASE WHEN date < {cut} THEN 0 ELSE 1 END AS run, count(*) AS pending_rows "
                                 f"FROM {daily} d GROUP BY 1",
@@ -336,6 +349,8 @@ FROM events GROUP BY 1, 2""",
         # UDF surface
         "usd_conversion_sql_udf": f"SELECT series_id, date, {zero()} AS value, {conv(zero())} AS value_converted FROM {daily} d",
         "forward_fill_nonzero": nonzero_daily,
+        "forward_fill_array_sql": f"SELECT series_id, month, list(v ORDER BY date) AS filled FROM (SELECT series_id, month, date, "
+                                  f"{ffill_nonzero('value', 'series_id, month', 'date')} AS v FROM ({month_rows}) r) x GROUP BY 1, 2",
         "forward_fill_array": f"SELECT series_id, month, list(v ORDER BY date) AS filled FROM (SELECT series_id, month, date, "
                               f"{ffill_nonzero('value', 'series_id', 'date')} AS v FROM ({month_rows}) r) x GROUP BY 1, 2",
     }

@@ -57,9 +57,11 @@ from rateflow.sinks.tables import (
     update_from,
 )
 from rateflow.sources.files import (
+    create_table_from_files,
     list_source_files,
     read_series_csv,
     read_series_json,
+    rejected_rows,
     with_frequency,
 )
 from rateflow.sources.tables import all_observations, order_observations
@@ -138,6 +140,41 @@ def scan_csv_infer(spark, sf):
     return read_series_csv(spark, path, infer=True, series_from="dir")
 
 
+def _landed_unreadable(spark, sf) -> str:
+    """The observations as CSV, with text that is no number where the value is missing."""
+    path = shared_dir(spark, "landing-unreadable")
+    obs = all_observations(spark, sf)
+    text = F.coalesce(F.col("value").cast("string"), F.concat(F.lit("n/a "), F.col("date").cast("string")))
+    write_series_csv(obs.select("freq", "series_id", "date", text.alias("value")), path)
+    return path
+
+
+def rejected_rows_q(spark, sf):
+    found = rejected_rows(spark, _landed_unreadable(spark, sf), series_from="dir")
+    return found.select("series_id", F.col("date").cast("date").alias("date"), "value")
+
+
+def load_without_rejects(spark, sf):
+    return read_series_csv(spark, _landed_unreadable(spark, sf), series_from="dir", unreadable="drop")
+
+
+def mixed_headers(spark, sf):
+    """``date,value`` and ``VALUE,DATE`` files side by side in each folder, values of seven
+    decimals: each file by its own header, nothing rounded."""
+    path = shared_dir(spark, "landing-mixed")
+    obs = all_observations(spark, sf).withColumn("value", F.col("value").cast("double") + F.lit(0.0000125))
+    even = F.dayofmonth("date") % 2 == 0
+    for part, names in ((obs.filter(even), ("date", "value")), (obs.filter(~even), ("VALUE", "DATE"))):
+        out = part.select("freq", "series_id", *[F.col(n.lower()).alias(n) for n in names])
+        out.write.mode("append").option("header", True).option("nullValue", ".").partitionBy("freq", "series_id").csv(path)
+    return read_series_csv(spark, path, series_from="dir")
+
+
+def inferred_schema_table(spark, sf):
+    return create_table_from_files(spark, "rateflow_inferred_observations", _landed_csv(spark, sf, null_value=""),
+                                   shared_dir(spark, "table-inferred"))
+
+
 def list_source_files_q(spark, sf):
     path = _landed_csv(spark, sf)
     files = list_source_files(spark, path)
@@ -146,9 +183,10 @@ def list_source_files_q(spark, sf):
 
 
 def series_from_path_q(spark, sf):
-    path = _landed_csv(spark, sf)
-    df = read_series_csv(spark, path, series_from="dir")
-    return df.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """The series of ``<folder>/<series>.csv`` names, one per observation."""
+    file = F.concat(F.lit("stage/"), F.initcap("freq"), F.lit("/"), F.lower("series_id"), F.lit(".csv"))
+    named = all_observations(spark, sf).select(file.alias("file_path"))
+    return named.groupBy(series_from_path("file_path").alias("series_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def route_frequency_q(spark, sf):
@@ -338,6 +376,20 @@ def combined_currency_q(spark, sf):
     return combined_currency(all_observations(spark, sf), C.COMBINED)
 
 
+def combined_currency_table(spark, sf):
+    """The combined table through a declared schema (date and currencies) and an insert; rows
+    of both frequencies keep their order of columns, not their frequency."""
+    name = "rateflow_combined_currency"
+    schema = "date STRING, " + ", ".join(f"{c} DOUBLE" for c in C.COMBINED)
+    declared_schema_table(spark, name, schema, shared_dir(spark, "table-combined"))
+    return append_table(combined_currency_q(spark, sf).drop("freq"), name)
+
+
+def harmonize_listed(spark, sf):
+    """Two of the series, in a table that has others with dates of their own."""
+    return harmonize_pivot(_sparse(spark, sf), C.LISTED, out_date="DDATE")
+
+
 def series_span_q(spark, sf):
     return series_span(_sparse(spark, sf))
 
@@ -393,6 +445,13 @@ def forward_fill_array_q(spark, sf):
     return _array_filled(spark, sf).select("series_id", "month", "filled")
 
 
+def forward_fill_array_sql(spark, sf):
+    """The array fill called by name from SQL, on each month's values alone."""
+    register_sql_functions(spark)
+    series_array_agg(spark, sf).createOrReplaceTempView("rateflow_month_values")
+    return spark.sql("SELECT series_id, month, forward_fill_array(vals) AS filled FROM rateflow_month_values")
+
+
 def explode_filled(spark, sf):
     b = _array_filled(spark, sf)
     z = b.select("series_id", F.explode(F.arrays_zip(F.transform("_rows", lambda r: r["date"]).alias("d"),
@@ -555,6 +614,36 @@ def _arrivals(spark, sf, key="priority"):
     return first, second
 
 
+def stream_empty_start(spark, sf):
+    """A stream without initial rows that is created before the first file lands: every row of
+    both arrivals comes through."""
+    src, sink, ckpt = (shared_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    first, second = _arrivals(spark, sf)
+    land(first.limit(0), src)
+    for i, arrival in enumerate((first.limit(0), first, second)):
+        if i:
+            land(arrival, src)
+        consume(spark, src, _OBS_SCHEMA, ckpt, append_to(sink, run=i), initial_rows=False)
+    return spark.read.schema("series_id STRING, date DATE, value DECIMAL(18,4), run INT, batch INT") \
+        .parquet(sink).select("series_id", "date", "value")
+
+
+def stream_restated(spark, sf):
+    """The second arrival restates every first day of a month with twice its value and brings the
+    days of 1994 late; the newest value of a day counts."""
+    src, ckpt, raw, metrics = (shared_dir(spark, n) for n in ("stream-src", "stream-ckpt", "stream-raw",
+                                                              "stream-metrics"))
+    obs = _daily(spark, sf).select("series_id", "date", "value")
+    restated = F.dayofmonth("date") == 1
+    late = F.year("date") == 1994
+    land(obs.filter(~late), src)
+    stream_refresh(spark, src, _OBS_SCHEMA, ckpt, raw, metrics, missing="null")
+    twice = F.when(restated, (F.col("value") * 2).cast("decimal(18,4)")).otherwise(F.col("value"))
+    land(obs.filter(restated | late).withColumn("value", twice), src)
+    stream_refresh(spark, src, _OBS_SCHEMA, ckpt, raw, metrics, missing="null")
+    return read_metrics(spark, metrics)
+
+
 def stream_initial_rows(spark, sf):
     src, sink, ckpt = (shared_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
     first, second = _arrivals(spark, sf)
@@ -615,6 +704,16 @@ def stream_harmonized_initial_rows(spark, sf):
     return spark.read.parquet(sink).drop("run", "batch")
 
 
+def stream_harmonized_monthly(spark, sf):
+    """The same change stream on the harmonized monthly table."""
+    tbl, sink, ckpt = (shared_dir(spark, n) for n in ("harm-tbl", "harm-sink", "harm-ckpt"))
+    _harmonized(spark, sf, MONTHLY).write.mode("overwrite").parquet(tbl)
+    schema = spark.read.parquet(tbl).schema
+    for i in range(2):  # nothing new the second time
+        consume(spark, tbl, schema, ckpt, append_to(sink, run=i), initial_rows=True)
+    return spark.read.parquet(sink).drop("run", "batch")
+
+
 _EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
                   "props STRING")
 
@@ -642,6 +741,10 @@ QUERIES: dict[str, Query] = {
     "scan_csv_nullif": scan_csv_nullif,
     "scan_csv_quoted": scan_csv_quoted,
     "scan_csv_infer": scan_csv_infer,
+    "inferred_schema_table": inferred_schema_table,
+    "mixed_headers": mixed_headers,
+    "rejected_rows": rejected_rows_q,
+    "load_without_rejects": load_without_rejects,
     "list_source_files": list_source_files_q,
     "series_from_path": series_from_path_q,
     "route_frequency": route_frequency_q,
@@ -670,7 +773,9 @@ QUERIES: dict[str, Query] = {
     "spine_left_join": spine_left_join_q,
     "harmonize_outer_join": harmonize_outer_join_q,
     "harmonize_pivot": harmonize_pivot_q,
+    "harmonize_listed": harmonize_listed,
     "combined_currency": combined_currency_q,
+    "combined_currency_table": combined_currency_table,
     # aggregates
     "series_span": series_span_q,
     "row_count": row_count,
@@ -710,6 +815,9 @@ QUERIES: dict[str, Query] = {
     "serve_latest": serve_latest_q,
     # streams
     "stream_append_only": stream_append_only,
+    "stream_empty_start": stream_empty_start,
+    "stream_restated": stream_restated,
+    "stream_harmonized_monthly": stream_harmonized_monthly,
     "stream_initial_rows": stream_initial_rows,
     "stream_harmonized_initial_rows": stream_harmonized_initial_rows,
     "stream_pending_count": stream_pending_count,
@@ -719,4 +827,5 @@ QUERIES: dict[str, Query] = {
     "usd_conversion_sql_udf": usd_conversion_sql_udf,
     "forward_fill_nonzero": forward_fill_nonzero_q,
     "forward_fill_array": forward_fill_array_q,
+    "forward_fill_array_sql": forward_fill_array_sql,
 }

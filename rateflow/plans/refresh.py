@@ -35,8 +35,10 @@ class Frequency:
 
 def table_names(env: str) -> dict[str, str]:
     raw, harm, ana = (f"{env}_{x}".lower() for x in ("raw", "harmonized", "analytics"))
+    # The names of the harmonized and analytics tables.
     return {
         "raw": f"{raw}.observations",
+        "rejects": f"{raw}.rejected_observations",
         "DAILY_harmonized": f"{harm}.harmonized_daily_tbl",
         "MONTHLY_harmonized": f"{harm}.harmonized_monthly_tbl",
         "DAILY_metrics": f"{ana}.daily_data_metrics",
@@ -119,15 +121,22 @@ def refresh_from_files(
     """The whole daily job from landed ``<SERIES>.csv`` files (``date,value`` with null
     markers): read every file in one pass, route each series to its frequency by its id,
     then ``refresh_metrics``. The wide tables need the series ids as column names; when
-    ``ids_by_freq`` is not given they are found with one distinct query (one row per series,
-    bounded by the number of series, not by the data)."""
-    from rateflow.sources.files import read_series_csv, with_frequency
+    ``ids_by_freq`` is not given they come from the listing of the files (a row per file, no
+    contents). Rows that cannot be read are never loaded as 0: they go to the raw layer's
+    ``rejected_observations`` table, and the status says how many they are."""
+    from rateflow.functions.strings import route_frequency, series_from_path
+    from rateflow.sources.files import list_source_files, read_series_csv, rejected_rows, with_frequency
 
-    raw = with_frequency(read_series_csv(spark, path, series_from="file"))
+    root = root or shared_dir(spark, f"{env}-tables")
+    ensure_layers(spark, env, root=root)
+    rejects = create_table_as(rejected_rows(spark, path), table_names(env)["rejects"], f"{root}/rejects").count()
+    raw = with_frequency(read_series_csv(spark, path, series_from="file", unreadable="drop"))
     if ids_by_freq is None:
         ids_by_freq = {}
-        for r in raw.select("freq", "series_id").distinct().orderBy("freq", "series_id").collect():
+        ids = list_source_files(spark, path).select(series_from_path("file_path").alias("series_id")).distinct()
+        for r in ids.select(route_frequency("series_id").alias("freq"), "series_id").orderBy("freq", "series_id").collect():
             ids_by_freq.setdefault(r.freq, []).append(r.series_id)
     raw = raw.select("series_id", "freq", "date", "value")  # at the files' own precision
     freqs = frequencies_for(ids_by_freq, list(convert), weekly=weekly)
-    return refresh_metrics(spark, raw, freqs, env=env, root=root, missing=missing)
+    status = refresh_metrics(spark, raw, freqs, env=env, root=root, missing=missing)
+    return f"{status} Rejected rows: {rejects}." if rejects else status

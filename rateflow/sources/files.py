@@ -55,6 +55,36 @@ def _by_own_header(reader: DataFrameReader, path: str | Sequence[str], width: in
         F.get("_cells", (F.col("d") - 1).cast("int")).alias("date"), F.get("_cells", (F.col("v") - 1).cast("int")).alias("value"), "_metadata")
 
 
+#: Whether a row's texts are an observation: a date, and a marker or a number.
+READABLE = "try_cast(_rf_d AS DATE) IS NOT NULL AND (_rf_v IS NULL OR try_cast(_rf_v AS DOUBLE) IS NOT NULL)"
+
+
+def _csv_reader(spark: SparkSession, recursive: bool = True, quote: str = '"', sep: str = ",") -> DataFrameReader:
+    return (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("sep", sep)
+        .option("quote", quote)
+        .option("encoding", "UTF-8")
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("ignoreTrailingWhiteSpace", True)
+        .option("recursiveFileLookup", recursive)
+    )
+
+
+def _series_text(reader: DataFrameReader, path: str | Sequence[str], null_markers: Sequence[str],
+                 series_from: str | None) -> DataFrame:
+    """The files' rows as text: the series (if it is asked for), ``_rf_d`` and ``_rf_v`` (NULL for
+    a marker) and ``file_path``."""
+    raw, sid = _by_own_header(reader, path), _series_col(series_from)
+    return raw.select(
+        *([] if sid is None else [sid.alias("series_id")]),
+        null_if_marker("date", null_markers).alias("_rf_d"),
+        null_if_marker("value", null_markers).alias("_rf_v"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
+
+
 def read_series_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -64,46 +94,52 @@ def read_series_csv(
     recursive: bool = True,
     quote: str = '"',
     sep: str = ",",
+    unreadable: str = "null",
 ) -> DataFrame:
     """Read ``date,value`` CSV files with a header.
 
     Trims fields, skips blank lines, reads UTF-8, accepts optionally quoted fields, matches
     the header case-insensitively, turns any of ``null_markers`` into NULL and converts with
-    ``try_cast`` (a bad number is NULL, never an error). ``infer=True`` keeps Spark's inferred
-    types instead (markers other than the empty field then make ``value`` text).
+    ``try_cast``. Rows with text that is neither a marker nor readable, or without a date, are
+    kept with NULL there (``unreadable='null'``) or left out (``'drop'``); ``rejected_rows``
+    lists them. ``infer=True`` keeps Spark's inferred types instead (markers other than the
+    empty field then make ``value`` text).
     ``series_from``: ``'file'`` (base name), ``'dir'`` (``series_id=`` folder) or ``None``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("quote", quote)
-        .option("encoding", "UTF-8")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("recursiveFileLookup", recursive)
-    )
-    if infer:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.option("inferSchema", False)
-    raw = reader.csv(path) if infer else _by_own_header(reader, path)
-    sid = _series_col(series_from)
-    cols: list[Column] = []
-    if sid is not None:
-        cols.append(sid.alias("series_id"))
+    if unreadable not in ("null", "drop"):
+        raise ValueError("unreadable must be 'null' or 'drop'")
+    reader = _csv_reader(spark, recursive, quote, sep)
     if infer:
-        cols += [_pick(raw, "date").alias("date"), _pick(raw, "value").alias("value")]
-    else:
-        cols += [
-            F.expr("try_cast(_rf_d AS DATE)").alias("date"),
-            F.expr("try_cast(_rf_v AS DOUBLE)").alias("value"),
-        ]
-        raw = raw.select(
-            "*",
-            null_if_marker(_pick(raw, "date"), null_markers).alias("_rf_d"),
-            null_if_marker(_pick(raw, "value"), null_markers).alias("_rf_v"),
-        )
-    return raw.select(*cols)
+        raw, sid = reader.option("inferSchema", True).csv(path), _series_col(series_from)
+        named = [] if sid is None else [sid.alias("series_id")]
+        return raw.select(*named, _pick(raw, "date").alias("date"), _pick(raw, "value").alias("value"))
+    rows = _series_text(reader, path, null_markers, series_from)
+    if unreadable == "drop":
+        rows = rows.filter(READABLE)
+    return rows.select(
+        *([] if series_from is None else ["series_id"]),
+        F.expr("try_cast(_rf_d AS DATE)").alias("date"),
+        F.expr("try_cast(_rf_v AS DOUBLE)").alias("value"),
+    )
+
+
+def rejected_rows(spark: SparkSession, path: str | Sequence[str], null_markers: Sequence[str] = NULL_MARKERS,
+                  series_from: str | None = "file", **options) -> DataFrame:
+    """The rows that ``read_series_csv`` cannot read, as text: those with a date or a value that
+    is neither a marker nor readable, and those without a date. Columns: the series (if it is
+    asked for), ``date``, ``value`` and the ``file_path``."""
+    rows = _series_text(_csv_reader(spark, **options), path, null_markers, series_from)
+    return rows.filter(f"NOT ({READABLE})").withColumnsRenamed({"_rf_d": "date", "_rf_v": "value"})
+
+
+def create_table_from_files(spark: SparkSession, name: str, files: str | Sequence[str], path: str,
+                            series_from: str | None = "dir") -> DataFrame:
+    """A table at ``path`` with the schema inferred from the files, and their rows in it."""
+    from rateflow.sinks.tables import append_table, declared_schema_table
+
+    df = read_series_csv(spark, files, infer=True, series_from=series_from)
+    declared_schema_table(spark, name, df.schema, path)
+    return append_table(df, name)
 
 
 def with_frequency(df: DataFrame, series: str = "series_id") -> DataFrame:
