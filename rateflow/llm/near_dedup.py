@@ -11,10 +11,14 @@ Without all pairs: equal word sequences are one node (64-bit hash) first. In sma
 nodes) all pairs are verified. In larger ones all nodes are compared with two leaders; those
 similar to one are settled. Where few (32) are left, these are compared with the whole bucket.
 Where more are left, the bucket is split by each of the next four bands, since similar
-documents share several bands and others hardly do, and the two steps are repeated. So the
-pairs grow with a bucket's size, not its square. A link is missed only if its ends share no
-band, or if all the buckets that they share have more than 32 unsettled nodes after that, or
-settle both ends by different leaders.
+documents share several bands and others hardly do, and the two steps are repeated.
+
+These rounds only join most nodes early. What they leave is verified without a cap: all nodes of
+larger buckets that still hold several components meet those of other components with which
+they share a shingle of their prefix (their rarest shingles, of more than 1 - ``threshold`` of
+their weight). Weights in common sum up to the probability Jaccard at least, so two
+documents at the threshold share such a shingle: no pair is lost by that, and texts that collide
+by a common boilerplate hardly meet. A link is missed only if its ends share no band.
 
 Groups are the connected components of the verified links.
 
@@ -43,6 +47,8 @@ LEADERS = 2
 COMPLETE = (8, 32, 32)
 #: Bands by which a bucket with more unsettled nodes is split after the first round.
 NEXT = 4
+#: Nodes of one component in a block, and blocks of one shingle that a task puts against all others.
+BLOCK, SIDE = 256, 64
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -118,6 +124,18 @@ def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
     return shingles(word_hashes(text))
 
 
+def _weights(batches):
+    """Every shingle of each text with its share of the text's weight."""
+    for batch in batches:
+        rows = batch.column(1).to_pylist()
+        for lo in range(0, len(rows), 500):
+            sets = [shingles(word_hashes(t)) for t in rows[lo:lo + 500]]
+            nodes = np.repeat(batch.column(0).slice(lo, len(sets)).to_numpy(), [len(h) for h, _ in sets])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(nodes, pa.int64()), pa.array(np.concatenate([h for h, _ in sets]).view(np.int64)),
+                pa.array(np.concatenate([w / w.sum() for _, w in sets]))], names=["node", "shingle", "part"])
+
+
 def _verify(threshold: float):
     def run(batches):
         for batch in batches:
@@ -159,7 +177,7 @@ def _refined(members: DataFrame, open_: DataFrame, bands: DataFrame) -> tuple[Da
 
 
 def _links(members: DataFrame, bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a < b) of nodes that share a bucket."""
+    """Verified pairs (a < b) of nodes that share a bucket, found by the bounded rounds."""
     open_, tested = members, None
     for i, complete in enumerate(COMPLETE):
         chosen = written(_chosen(open_, complete, i), "chosen")
@@ -177,7 +195,38 @@ def _links(members: DataFrame, bands: DataFrame, texts: DataFrame, threshold: fl
                 break
         if i == 0:
             members, open_ = (written(x, "refined") for x in _refined(members, open_, bands))
-    return tested.filter("same")
+    return tested
+
+
+def _rest(first: DataFrame, tested: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of nodes of different components of ``tested``'s links, within the nodes of all buckets
+    of ``first`` that are larger than round one compares whole and hold several components, that
+    share a shingle of their prefixes."""
+    labels = written(components(tested.filter("same")), "labels")
+    placed = first.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter(
+        (F.col("n") > COMPLETE[0]) & (F.col("low") != F.col("high"))).select("bucket")
+    nodes = written(placed.join(mixed, "bucket").select("node", "label").distinct(), "rest-nodes")
+    parts = written(texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(
+        _weights, "node long, shingle long, part double"), "rest-shingles")
+    # any fixed order of shingles is right; with the rare ones first few nodes meet
+    counts = parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = parts.join(counts, "shingle").withColumn("before", F.coalesce(F.sum("part").over(before), F.lit(0.0)))
+    # a margin for the sums' rounding
+    prefix = prefix.filter((F.col("before") <= 1 - threshold + 1e-9) & (F.col("n") > 1)).select("shingle", "node")
+    prefix = prefix.join(nodes, "node")
+    sizes = prefix.groupBy("shingle", "label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    several = sizes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum("blocks") / SIDE).alias("sides")).filter("n > 1")
+    sizes = sizes.join(several.select("shingle", "sides"), "shingle")
+    blocks = written(
+        prefix.join(sizes, ["shingle", "label"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .groupBy("shingle", "label", "block", "sides").agg(F.collect_list("node").alias("nodes")), "rest-blocks")
+    left = blocks.select("shingle", F.pmod(F.xxhash64("label", "block"), F.col("sides")).alias("side"), F.col("label").alias("x"), F.col("nodes").alias("xs"))
+    right = blocks.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)).alias("side"), F.col("label").alias("y"), F.col("nodes").alias("ys"))
+    met = left.join(right, ["shingle", "side"]).filter(F.col("x") < F.col("y")).select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return written(_verified(pairs.join(tested, ["a", "b"], "left_anti"), texts, threshold), "rest")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -193,7 +242,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         texts.select("text").mapInArrow(_with_node, "node long, text string")
         .join(needed, "node", "left_semi").dropDuplicates(["node"]), "texts")
     keys = signed.select("node", "bands").join(needed, "node", "left_semi").dropDuplicates(["node"])
-    links = written(_links(members, written(keys, "keys"), some, threshold), "links")
+    tested = _links(members, written(keys, "keys"), some, threshold)
+    links = written(tested.unionByName(_rest(members, tested, some, threshold)).filter("same").select("a", "b").distinct(), "links")
     labels = components(links)
     counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     placed = (
