@@ -6,8 +6,10 @@ probes the ``probes`` axes nearest to it in every table. Tasks hold one block of
 the queries that probe it, score all of these pairs in double precision, and send on only the
 best of each query; the best of all blocks are the result.
 
-For the largest inner product, vectors are scaled by the greatest norm and given one more
-component that makes them unit length, so that the angle to a query follows the product.
+For the largest inner product, vectors are dealt by the range of their norm (powers of 1.2), and
+each range is searched by direction on its own: within one, the angle to a query follows the
+product. All ranges are searched. A range of at most ``block`` classes is one block that every
+query is scored against.
 
 Hot groups: equal vectors are one class. It is hashed and scored once and carries its smallest
 ids, as many as a result can hold (limited in the map step, before the shuffle). Buckets with
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import written
 
+#: Norms of one range differ by this factor at most.
+STEP = 1.2
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Hadamard transform of each row (length a power of two)."""
@@ -50,13 +55,12 @@ def rotations(x: np.ndarray, tables: int, seed: int = 11):
         yield y
 
 
-def _unit(vectors: np.ndarray, greatest: float, augment: bool) -> np.ndarray:
-    """Scaled vectors, padded to a power of two."""
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one, padded to a power of two."""
     n, dims = vectors.shape
-    x = np.zeros((n, 1 << (dims + augment - 1).bit_length()))
-    x[:, :dims] = vectors / greatest
-    if augment:
-        x[:, dims] = np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1)))
+    x = np.zeros((n, 1 << (dims - 1).bit_length()))
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # its squares are in range
+    x[:, :dims] = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
     return x
 
 
@@ -67,7 +71,7 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 1))
 
 
-def _buckets(tables: int, probes: int, greatest: float, augment: bool):
+def _buckets(tables: int, probes: int):
     """Map step: bucket ids (table * axes + signed axis) of each vector; ``probes`` = 0 gives the
     one bucket a vector lies in, else the buckets a query probes."""
 
@@ -76,13 +80,7 @@ def _buckets(tables: int, probes: int, greatest: float, augment: bool):
             if not batch.num_rows:
                 continue
             vectors = _matrix(batch.column(1))
-            if probes:  # a query's length has no say in its order
-                x = _unit(vectors / np.linalg.norm(vectors, axis=1, keepdims=True), 1.0, False)
-                if augment:
-                    x = _unit(vectors / (1.0000001 * np.linalg.norm(vectors, axis=1, keepdims=True)), 1.0, True)
-                    x[:, vectors.shape[1]] = 0.0
-            else:
-                x = _unit(vectors, greatest, augment)
+            x = _unit(vectors)
             out = []
             for t, y in enumerate(rotations(x, tables)):
                 near = np.argsort(-np.concatenate([y, -y], axis=1), axis=1, kind="stable")[:, :probes or 1]
@@ -121,6 +119,18 @@ def _best_of_block(k: int):
     return run
 
 
+def _best(queries: DataFrame, rows: DataFrame, place: tuple[str, ...], k: int) -> DataFrame:
+    """``query`` and ``best``: its ``k`` best classes of all the blocks (``place``) it is dealt to."""
+    found = (
+        queries.select(*[F.col(c).alias(f"at_{c}") for c in place], "query", "embedding").groupBy(*[f"at_{c}" for c in place])
+        .cogroup(rows.select(*place, "class", "first_id", "embedding").groupBy(*place))
+        .applyInArrow(_best_of_block(k), "query long, class long, first_id long, score double")
+    )
+    # equal finds of several tables merge
+    return found.groupBy("query").agg(F.slice(F.array_sort(F.collect_set(
+        F.struct((-F.col("score")).alias("far"), "first_id", "class"))), 1, k).alias("best"))
+
+
 def _usable(embedding: Column) -> Column:
     bad = F.exists(embedding, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return embedding.isNotNull() & ~bad & F.exists(embedding, lambda v: v != 0)
@@ -136,37 +146,42 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 6,
     if not length:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("embedding") == length[0].n).withColumn("class", F.xxhash64("embedding"))
-    square = F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v)
-    norms = rows.agg(F.min(square).alias("low"), F.max(square).alias("high")).collect()[0]
-    greatest, augment = float(np.sqrt(norms.high)), bool(norms.low < norms.high * (1 - 1e-5))
+    most = F.array_max(F.transform("embedding", F.abs))  # squares of scaled values are in range
+    log_norm = F.log(most) + F.log(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + (v / most) * (v / most))) / 2
+    rows = rows.withColumn("log_norm", log_norm)
+    greatest = rows.agg(F.max("log_norm").alias("x")).collect()[0].x
+    # half a step above the greatest: vectors of one length, up to rounding, are one range
+    rows = rows.withColumn("range", F.floor((F.lit(greatest) - F.col("log_norm")) / float(np.log(STEP)) + 0.5).cast("int"))
 
     # classes of equal vectors with their k + 1 smallest ids: a query's own row may be among them
     smallest = Window.partitionBy("class").orderBy("vec_id")
     classes = written(
         rows.withColumn("row", F.row_number().over(smallest)).filter(F.col("row") <= k + 1)
-        .groupBy("class").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"), F.first("embedding").alias("embedding")),
+        .groupBy("class").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"), F.first("embedding").alias("embedding"), F.first("range").alias("range")),
         "classes")
     asked = rows.filter("asked").select("vec_id", "class", "embedding")
     queries = asked.groupBy("class").agg(F.first("embedding").alias("embedding")).withColumnRenamed("class", "query")
 
-    index = classes.select("class", "embedding", F.col("ids")[0].alias("first_id")).mapInArrow(
-        _buckets(tables, 0, greatest, augment), "class long, embedding array<double>, first_id long, buckets array<int>"
-    ).select("class", "embedding", "first_id", F.explode("buckets").alias("bucket"))
+    # at most one row for each range of norms
+    ranges = written(classes.groupBy("range").agg(F.count(F.lit(1)).alias("n")), "ranges")
+    small, large = ranges.filter(F.col("n") <= block).select("range"), ranges.filter(F.col("n") > block).select("range")
+    points = classes.select("class", "embedding", F.col("ids")[0].alias("first_id"), "range")
+    hashed = points.join(F.broadcast(large), "range").select("class", "embedding", "first_id", "range").mapInArrow(
+        _buckets(tables, 0), "class long, embedding array<double>, first_id long, range int, buckets array<int>"
+    ).select("class", "embedding", "first_id", "range", F.explode("buckets").alias("bucket"))
     probed = queries.mapInArrow(
-        _buckets(tables, probes, greatest, augment), "query long, embedding array<double>, buckets array<int>"
+        _buckets(tables, probes), "query long, embedding array<double>, buckets array<int>"
     ).select("query", "embedding", F.explode("buckets").alias("bucket"))
-    # at most tables x signed axes rows
-    blocks = index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    index = index.join(F.broadcast(blocks), "bucket").withColumn("block", F.pmod(F.hash("class"), F.col("blocks")))
+    # at most ranges x tables x signed axes rows
+    blocks = hashed.groupBy("range", "bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    hashed = hashed.join(F.broadcast(blocks), ["range", "bucket"]).withColumn("block", F.pmod(F.hash("class"), F.col("blocks")))
     probed = probed.join(F.broadcast(blocks), "bucket").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    found = (
-        probed.select("bucket", "block", "query", "embedding").groupBy("bucket", "block")
-        .cogroup(index.select("bucket", "block", "class", "first_id", "embedding").groupBy("bucket", "block"))
-        .applyInArrow(_best_of_block(k + 1), "query long, class long, first_id long, score double")
-    )
-    # a query has at most tables x probes x blocks lists; equal finds of several tables merge
-    best = found.groupBy("query").agg(F.slice(F.array_sort(F.collect_set(
-        F.struct((-F.col("score")).alias("far"), "first_id", "class"))), 1, k + 1).alias("best"))
+    whole = F.lit(-1).alias("bucket"), F.lit(0).alias("block")
+    place = "range", "bucket", "block"
+    best = written(_best(
+        probed.select(*place, "query", "embedding").union(queries.crossJoin(F.broadcast(small)).select("range", *whole, "query", "embedding")),
+        hashed.select(*place, "class", "first_id", "embedding").union(points.join(F.broadcast(small), "range").select(
+            "range", *whole, "class", "first_id", "embedding")), place, k + 1), "best")
     listed = best.select("query", F.explode("best").alias("b")).join(
         classes.select(F.col("class").alias("c"), "ids"), F.col("b.class") == F.col("c"))
     answer = listed.select("query", (-F.col("b.far")).alias("score"), F.explode("ids").alias("vec_id")).groupBy("query").agg(

@@ -2,9 +2,12 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 import rateflow.llm.near_dedup as N
 from rateflow.llm.near_dedup import near_duplicates
+from rateflow.llm.neighbours import nearest
 
 
 def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
@@ -24,3 +27,29 @@ def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
     docs += [(1000 + i, docs[i][1].rsplit(" ", 1)[0] + " other") for i in range(0, 300, 10)]
     got = {r.doc_id: r.group_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {i: i - 1000 if i >= 1000 else i for i, _ in docs}
+
+
+def recall(spark, x, queries, **args):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict[int, set] = {}
+    for r in nearest(df, F.col("vec_id") % (len(x) // queries) == 0, 20, **args).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in range(0, len(x), len(x) // queries):
+        best = [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20]
+        assert len(found.get(q, ())) == len(best)
+        hits, total = hits + len(found[q] & set(best)), total + len(best)
+    return hits / total
+
+
+@pytest.mark.parametrize("norms", ["outlier", "lognormal"])
+@pytest.mark.parametrize("block", [64, 4096])
+def test_neighbours_of_other_norms(spark, norms, block):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(40, 64))[rng.integers(0, 40, 2000)] + 0.7 * rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[7] *= 100
+    else:
+        x *= rng.lognormal(0, 0.5, (2000, 1))
+    assert recall(spark, x, 100, block=block) >= 0.9
