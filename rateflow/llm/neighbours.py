@@ -11,6 +11,9 @@ each range is searched by direction on its own: within one, the angle to a query
 product. All ranges are searched. A range of at most ``block`` classes is one block that every
 query is scored against.
 
+A query for which fewer than ``k`` + 1 classes are found, though there are more, is scored
+against all classes.
+
 Hot groups: equal vectors are one class. It is hashed and scored once and carries its smallest
 ids, as many as a result can hold (limited in the map step, before the shuffle). Buckets with
 more than ``block`` classes are split into blocks, and the queries are sent to each of them.
@@ -182,6 +185,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 6,
         probed.select(*place, "query", "embedding").union(queries.crossJoin(F.broadcast(small)).select("range", *whole, "query", "embedding")),
         hashed.select(*place, "class", "first_id", "embedding").union(points.join(F.broadcast(small), "range").select(
             "range", *whole, "class", "first_id", "embedding")), place, k + 1), "best")
+    # queries with too few classes meet all of them
+    n = classes.count()
+    full = best.filter(F.size("best") >= min(k + 1, n))
+    short = written(queries.join(full, "query", "left_anti").select("query", "embedding"), "short")
+    if not short.isEmpty():
+        parts = -(-n // block)
+        best = full.union(_best(
+            short.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))),
+            points.select("class", "first_id", "embedding", F.pmod(F.hash("class"), F.lit(parts)).alias("block")), ("block",), k + 1))
     listed = best.select("query", F.explode("best").alias("b")).join(
         classes.select(F.col("class").alias("c"), "ids"), F.col("b.class") == F.col("c"))
     answer = listed.select("query", (-F.col("b.far")).alias("score"), F.explode("ids").alias("vec_id")).groupBy("query").agg(

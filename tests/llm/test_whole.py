@@ -53,3 +53,9 @@ def test_neighbours_of_other_norms(spark, norms, block):
     else:
         x *= rng.lognormal(0, 0.5, (2000, 1))
     assert recall(spark, x, 100, block=block) >= 0.9
+
+
+@pytest.mark.parametrize("block", [4, 4096])
+def test_neighbours_of_small_tables(spark, block):
+    x = np.random.default_rng(7).normal(size=(15, 64))
+    assert recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True), 15, block=block) == (1.0 if block > 4 else pytest.approx(1.0))
