@@ -29,12 +29,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the least doc_id."""
-    groups = near_duplicates(docs)
-    # rows that are no group's least; a group's rows with the least id are equal or copies
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("group_id"))).select("doc_id").distinct()
-    left = docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
-    return left.dropDuplicates(["doc_id"])
+    """One row of each near-duplicate group stays: the one with the least doc_id (the first of
+    its rows, if some repeat it). Null ids come last; an id, null or not, says nothing about which
+    rows are alike."""
+    # a row's number tells rows that repeat an id apart
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "group_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first")
+    stay = numbered.select("_row", "doc_id").join(groups, "_row").groupBy("group_id").agg(first).select(F.col("first._row").alias("_row"))
+    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline as P
 import rateflow.llm.near_dedup as N
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
@@ -59,3 +60,13 @@ def test_neighbours_of_other_norms(spark, norms, block):
 def test_neighbours_of_small_tables(spark, block):
     x = np.random.default_rng(7).normal(size=(15, 64))
     assert recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True), 15, block=block) == (1.0 if block > 4 else pytest.approx(1.0))
+
+
+def test_near_dedup_stage_keeps_different_texts(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    other = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"]
+    rows = [(1, text), (None, text), (None, other[0]), (None, other[1]), (3, other[2]), (3, other[3]), (3, other[3]), (4, other[4]), (4, text),
+            (None, other[5]), (None, other[5])]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = sorted(((r.doc_id or 0), r.text) for r in P.near_dedup(spark, docs, "").collect())
+    assert got == sorted([(1, text), (0, other[0]), (0, other[1]), (3, other[2]), (3, other[3]), (4, other[4]), (0, other[5])])
