@@ -8,6 +8,8 @@ longest fitting rule decides. Pages that no rule fits get their host's verdict:
 - Trust is personalised PageRank along the edges from the hosts whose pages rules allow;
   distrust is the same against the edges from the hosts whose pages rules block (who links to
   bad hosts is distrusted). A seed's mass is the share of its pages with that verdict.
+- Ranks are iterated until what is still under way, over all hosts, is below a hundredth of the
+  mean host's rank.
 - A host is blocked if its distrust is above its trust and above the mean host's rank.
 
 DataFrame functions only. Links are counted per pair of hosts before the shuffle, so a host
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import written
 
-DAMPING, ROUNDS = 0.85, 8
+DAMPING = 0.85
+#: Rank that may still be under way, over all hosts, as a part of the mean host's rank.
+REST = 0.01
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?[a-z]*:?//([^/?#\"'\s>]+)"
@@ -77,8 +81,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``host``, ``trust`` and ``distrust``. ``seeds``: host, allowed, blocked (masses)."""
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+    """``host``, ``trust`` and ``distrust``, after ``rounds`` or until they settle. ``seeds``: host,
+    allowed, blocked (masses)."""
     # both kinds of rank go through one join a round: distrust runs along reversed edges
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "weight"))
@@ -92,12 +97,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / blocked).alias("seed")))))
     start = written(start.select("kind", "host", "seed"), "seeds")
     rank = start.select("kind", F.col("host").alias("src"), F.col("seed").alias("rank"))
-    for i in range(rounds):
+    hosts = both.select("host").union(start.select("host")).distinct().count()
+    i = 0
+    while rounds is None or i < rounds:
+        last = rank
         sent = both.join(rank, ["kind", "src"]).select("kind", "host", (F.col("rank") * F.col("part") * damping).alias("rank"))
         kept = start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
         rank = sent.union(kept).groupBy("kind", "host").agg(F.sum("rank").alias("rank")).withColumnRenamed("host", "src")
+        i += 1
         if i % 4 == 3:
             rank = written(rank, "rank")
+        if i % 4 == 0:
+            rank = written(rank, "rank")
+            change = rank.union(last.select("kind", "src", -F.col("rank"))).groupBy("kind", "src").agg(F.sum("rank").alias("d"))
+            moved = change.groupBy("kind").agg(F.sum(F.abs("d")).alias("d")).agg(F.max("d").alias("d")).collect()[0].d  # one number
+            # each later round moves at most ``damping`` of the one before
+            if rounds is None and (moved or 0.0) * damping / (1 - damping) <= REST / max(hosts, 1):
+                break
     return rank.groupBy(F.col("src").alias("host")).agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"))

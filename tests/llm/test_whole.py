@@ -9,6 +9,7 @@ import corpus_pipeline as P
 import rateflow.llm.near_dedup as N
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
+from rateflow.llm.url_trust import propagate
 
 
 def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
@@ -70,3 +71,20 @@ def test_near_dedup_stage_keeps_different_texts(spark):
     docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
     got = sorted(((r.doc_id or 0), r.text) for r in P.near_dedup(spark, docs, "").collect())
     assert got == sorted([(1, text), (0, other[0]), (0, other[1]), (3, other[2]), (3, other[3]), (4, other[4]), (0, other[5])])
+
+
+def test_ranks_of_a_long_chain(spark):
+    n = 20
+    edges = [(f"h{i}", f"h{i + 1}", 1) for i in range(n - 1)] + [("h0", "h5", 2), ("h7", "h6", 1)]
+    seeds = [(f"h{i}", float(i == 0), float(i == n - 1)) for i in range(n)]
+    got = {r.host: (r.trust, r.distrust) for r in propagate(
+        spark.createDataFrame(edges, "src string, dst string, weight long"),
+        spark.createDataFrame(seeds, "host string, allowed double, blocked double")).collect()}
+    w = np.zeros((n, n))
+    for a, b, m in edges:
+        w[int(a[1:]), int(b[1:])] += m
+    for k, m, at in ((0, w, 0), (1, w.T, n - 1)):
+        step = m / np.maximum(m.sum(1, keepdims=True), 1)
+        want = np.linalg.solve(np.eye(n) - .85 * step.T, .15 * np.eye(n)[at])
+        assert [got[f"h{i}"][k] for i in range(n)] == pytest.approx(want, abs=0.01 / n)
+        assert all(got[f"h{i}"][k] > 0 for i in range(n))
