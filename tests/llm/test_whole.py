@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 import rateflow.llm.near_dedup as N
+from rateflow.llm.licences import scan
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
 from rateflow.llm.url_trust import propagate
@@ -88,3 +89,14 @@ def test_ranks_of_a_long_chain(spark):
         want = np.linalg.solve(np.eye(n) - .85 * step.T, .15 * np.eye(n)[at])
         assert [got[f"h{i}"][k] for i in range(n)] == pytest.approx(want, abs=0.01 / n)
         assert all(got[f"h{i}"][k] > 0 for i in range(n))
+
+
+PLAIN = ["the quick brown fox jumps over the lazy dog near the river", "a second line of ordinary words that says nothing of note",
+         "some more text for the reader to see and forget at once", "numbers such as 1 2 3 and names fill this line of the text"]
+
+
+def test_all_rights_reserved(spark):
+    rows = [(1, f"{PLAIN[0]}\nAll rights reserved.\n{PLAIN[1]}"), (2, "Copyright (c) 2021 X Inc. All rights reserved."), (3, "\n".join(PLAIN)),
+            (4, "All the rights that were reserved for them were lost")]
+    got = {r.doc_id: (r.licence, r.licence_at) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("proprietary", 1), 2: ("proprietary", 0), 3: (None, None), 4: (None, None)}
