@@ -100,3 +100,18 @@ def test_all_rights_reserved(spark):
             (4, "All the rights that were reserved for them were lost")]
     got = {r.doc_id: (r.licence, r.licence_at) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("proprietary", 1), 2: ("proprietary", 0), 3: (None, None), 4: (None, None)}
+
+
+def test_wrapped_licences(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+    gpl = ("    This program is free software: you can redistribute it and/or modify\n"
+           "    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 3 of the License, or")
+    rows = [(1, mit), (2, f"{PLAIN[0]}\n{PLAIN[1]}\n{bsd}"), (3, f"{PLAIN[0]}\n\n{gpl}\n\n{PLAIN[2]}"), (4, "\n".join(PLAIN)),
+            (5, "# Permission is hereby granted, free of\n# charge, to any person obtaining\n# a copy of this\n# software"),
+            (6, f"{PLAIN[1]}\nReleased under the MIT License.\n{PLAIN[3]}"),
+            # a line without words ends a paragraph
+            (7, "Redistribution and use in source and\n\nbinary forms, with or without\n\nmodification, are permitted")]
+    got = {r.doc_id: (r.licence, r.licence_at, r.n_confirmed) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("mit", 0, 1), 2: ("bsd", 2, 1), 3: ("gpl", 2, 1), 4: (None, None, 0), 5: ("mit", 0, 1), 6: ("mit", 1, 1), 7: (None, None, 0)}
