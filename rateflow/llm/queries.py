@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import table
+from rateflow.llm.common import table, written
+from rateflow.llm.conversation_repair import COUNTS, line_hashes, repair
 from rateflow.llm.language_id import held_out, identify
 from rateflow.llm.licences import scan
 from rateflow.llm.mixing import mix
@@ -14,6 +15,7 @@ from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
 from rateflow.llm.packing import pack
 from rateflow.llm.quality import cascade
+from rateflow.llm.quality_model import fit, measure, score
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.suffix_dedup import repeated_spans
 from rateflow.llm.url_trust import judge
@@ -78,6 +80,36 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from the labels of documents that are not held out."""
+    measured = written(measure(table(spark, sf_dir, "documents")), "measured")
+    model = fit(measured, table(spark, sf_dir, "labels").filter(~held_out()))
+    return score(measured, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with the faults of this query's contract, by the checksum of ``conv_id:turn``."""
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    lot = F.crc32(F.concat_ws(":", text["conv_id"], text["turn"]).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text["role"].alias("role"), text["text"].alias("text"), lot.alias("lot")).filter("lot != 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("lot") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("lot") == 1, "").when(F.col("lot") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("lot") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's damage, cheapest repair, and hash of the repaired lines."""
+    source = table(spark, sf_dir, "conversations")
+    report, turns = repair(damaged(source))
+    every = source.select(F.col("conv_id").alias("id")).distinct()
+    hashes = line_hashes(turns).withColumnRenamed("conv_id", "of")
+    zero = F.lit(0).cast("long")
+    return every.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(hashes, F.col("id").eqNullSafe(F.col("of")), "left").select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, zero).alias(c) for c in (*COUNTS, "cost")], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_url_trust": op1_url_trust,
     "op2_licence_scan": op2_licence_scan,
@@ -89,4 +121,6 @@ QUERIES = {
     "op8_probminhash": op8_probminhash,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_language_id": op10_language_id,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_conversation_repair": op12_conversation_repair,
 }
