@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import table, written
 from rateflow.llm.conversation_repair import COUNTS, line_hashes, repair
+from rateflow.llm.hard_negatives import hard_negatives
 from rateflow.llm.language_id import held_out, identify
 from rateflow.llm.licences import scan
 from rateflow.llm.mixing import mix
@@ -110,6 +111,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; labels of ids divisible by 7 are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_url_trust": op1_url_trust,
     "op2_licence_scan": op2_licence_scan,
@@ -123,4 +131,5 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_quality_classifier": op11_quality_classifier,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
