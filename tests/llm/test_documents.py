@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -267,9 +268,18 @@ def test_licences(odd, none, spark):
     assert [r.licence_at for r in rows.values() if r.licence] == [0]
 
 
+def test_licences_with_a_very_long_line(spark):
+    """A line of 50,000 words takes time in proportion to them."""
+    line = " ".join(f"word{i % 977}" for i in range(50000))
+    begun = time.monotonic()
+    got = scan(spark.createDataFrame([(1, f"{line}\nReleased under the MIT License."), (2, line)], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.licence, r.licence_at) for r in got} == {1: ("mit", 1), 2: (None, None)}
+    assert time.monotonic() - begun < 60
+
+
 @on_tables
 def test_licences_of_the_documents(spark, texts):
     lines = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit",
-             "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+             "This work is licensed under the GNU General Public License, version 3.": "gpl", "All rights reserved.": "proprietary"}
     want = {k: next((lines[x] for x in t.split("\n") if x in lines), None) for k, t in texts.items()}
     assert {r.doc_id: r.licence for r in Q.op2_licence_scan(spark, SF).collect()} == want
