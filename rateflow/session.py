@@ -50,3 +50,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder path below the shared checkpoint root (created by the writer)."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/rateflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark can reach; nothing if it is not there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)

@@ -1,7 +1,8 @@
 """Catalog tables: create-as-select, append, declared schema, update-join, guards, layers.
 
 Tables are written as Parquet with an explicit location (a shared folder on a cluster),
-so the metastore only records where they are.
+so the metastore only records where they are. Tables that are replaced in place can be seen half
+written; ``rateflow.sinks.versions`` publishes whole sets of tables at once.
 """
 
 from __future__ import annotations
@@ -75,17 +76,20 @@ def update_from(target: DataFrame, updates: DataFrame, on: Sequence[str] | str,
                 columns: Sequence[str]) -> DataFrame:
     """``UPDATE target SET c = u.c ... FROM updates u WHERE target.key = u.key``.
 
-    Matched rows take the new values; unmatched target rows keep theirs. The keys of
-    ``updates`` must be unique (checked by the caller's data contract); written as a left
-    join, so each target row appears once.
+    Matched rows take the new values; unmatched target rows keep theirs. Written as a left join with one row per key of
+    ``updates``, so each target row appears once; a target row whose key occurs twice in
+    ``updates`` fails the query.
     """
     on = [on] if isinstance(on, str) else list(on)
     cols = list(columns)
-    u = updates.select(*on, *[F.col(c).alias(f"_rf_new_{c}") for c in cols], F.lit(True).alias("_rf_hit"))
+    new = F.struct(*[F.col(c).alias(c) for c in cols])
+    u = updates.groupBy(*on).agg(F.count(F.lit(1)).alias("_rf_n"), F.first(new).alias("_rf_new"))
+    twice = F.raise_error(F.concat(F.lit("two updates of one key: "), F.to_json(F.struct(*on))))
     j = target.join(u, on=on, how="left")
     return j.select(
         *[
-            F.when(F.col("_rf_hit"), F.col(f"_rf_new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
+            F.when(F.col("_rf_n") > 1, twice).when(F.col("_rf_n") == 1, F.col(f"_rf_new.`{c}`")).otherwise(F.col(c)).alias(c)
+            if c in cols else F.col(c)
             for c in target.columns
         ]
     )
