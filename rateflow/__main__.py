@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from rateflow.operators.serve import GROUPS, serve_latest
-from rateflow.plans.refresh import refresh_from_files, table_names
+from rateflow.plans.refresh import refresh_from_files, serve_published, table_names
 
 _DATE_COL = {"DAILY": "DDATE", "WEEKLY": "WDATE", "MONTHLY": "MDATE"}
 
@@ -53,12 +53,12 @@ def main(argv: list[str] | None = None):
         print(status)
         return status
     freq = args.freq.upper()
-    if args.root:  # by path: needs no catalog that outlives the session of the refresh
-        table = spark.read.parquet(f"{args.root.rstrip('/')}/{args.freq}_metrics")
+    date_col = _DATE_COL[freq]
+    if args.root:  # the newest published version: needs no catalog that outlives the session of the refresh
+        out = serve_published(spark, args.root, f"{args.freq}_metrics", date_col, k=args.k, group=args.group)
     else:
         table = spark.table(table_names(args.env)[f"{freq}_metrics"])
-    date_col = _DATE_COL[freq]
-    out = serve_latest(table, date_col, _rates(table.columns, date_col), k=args.k, group=args.group)
+        out = serve_latest(table, date_col, _rates(table.columns, date_col), k=args.k, group=args.group)
     out.show(args.k, truncate=False)
     return out
 

@@ -1,26 +1,31 @@
 """The batch refresh job: raw -> harmonized -> analytics, in environment-named layers.
 
 ``refresh_metrics`` is the one callable job: it loads the raw long table (NULL -> 0 at
-load), writes the harmonized daily and monthly tables, guards that they exist, writes the
-metrics tables in one pass each, and returns a status string.
+load), writes the harmonized daily and monthly tables and the metrics tables in one pass each, publishes
+all of them as one version, guards that they exist, and returns a status string. ``refresh_from_files`` is the same from
+landed files, of which only those not loaded before are read.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rateflow.operators.harmonize import harmonize, weekly_observations
 from rateflow.operators.metrics import wide_metrics
+from rateflow.operators.serve import CHANGE_PREFIX, VOL_PREFIX, serve_latest
 from rateflow.session import shared_dir
 from rateflow.sinks.tables import (
     assert_unique,
-    create_table_as,
     ensure_layers,
     guard_tables,
     null_to_zero,
 )
+from rateflow.sinks.versions import Part, Version, latest_parts, publish, read_parts, version, write_parts
 
 
 @dataclass(frozen=True)
@@ -62,6 +67,54 @@ def build_harmonized(raw: DataFrame, f: Frequency, missing: str = "zero") -> Dat
     return harmonize(obs, f.ids, f.convert, fill=f.fill, missing=missing, out_date=f.date_col)
 
 
+_FREQ = "CASE WHEN startswith(series_id, 'D') THEN 'DAILY' ELSE 'MONTHLY' END"
+#: Parts of the harmonized and metrics tables: a year each, so the newest rows are in the last few files.
+BY_YEAR = "date_format({date}, 'yyyy')"
+
+
+def _as_views(spark: SparkSession, names: dict[str, str], selects: dict[str, str]) -> None:
+    """Catalog names of published tables: views over their folders."""
+    for key, select in selects.items():
+        name = names[key]
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # written in place by an earlier release
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+
+def _select_of(parts: list[Part], columns: str = "*") -> str:
+    """SQL that reads parts of one table; of an empty one, its schema."""
+    schema = StructType.fromJson(json.loads(parts[0].schema))
+    folders = [p.folder for p in parts if p.folder]
+    names = ", ".join(f"`{f.name}`" for f in schema)
+    if not folders:
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+        return f"SELECT {columns} FROM (SELECT {nothing}) WHERE false"
+    return f"SELECT {columns} FROM (" + " UNION ALL ".join(f"SELECT {names} FROM parquet.`{f}`" for f in folders) + ")"
+
+
+def _publish_metrics(spark: SparkSession, raw_parts: list[Part], other: list[Part], freqs: list[Frequency], env: str, root: str,
+                     read_raw: Callable[[Frequency], DataFrame], selects: dict[str, str], missing: str, last: Version) -> None:
+    """Write the harmonized and metrics tables of ``read_raw``'s rows, then publish them and ``raw_parts`` at once."""
+    new = list(raw_parts)
+    harmonized: dict[str, list[Part]] = {}
+    for f in freqs:
+        wide = build_harmonized(read_raw(f), f, missing=missing)
+        harmonized[f.name] = write_parts(wide, root, f"{f.name.lower()}_harmonized", BY_YEAR.format(date=f.date_col), f.date_col)
+        selects[f"{f.name}_harmonized"] = _select_of(harmonized[f.name])
+        new += harmonized[f.name]
+    for f in freqs:
+        wide = read_parts(spark, harmonized[f.name])
+        metrics = wide_metrics(wide.select(f.date_col, *f.rates), f.date_col, f.rates)
+        parts = write_parts(metrics, root, f"{f.name.lower()}_metrics", BY_YEAR.format(date=f.date_col), f.date_col)
+        selects[f"{f.name}_metrics"] = _select_of(parts)
+        new += parts
+    replaced = {p.name for p in new}
+    publish(spark, root, [p for p in other if p.name not in replaced] + new, after=last)
+    names = table_names(env)
+    _as_views(spark, names, selects)
+    guard_tables(spark, [names[f"{f.name}_harmonized"] for f in freqs])
+
+
 def refresh_metrics(
     spark: SparkSession,
     raw: DataFrame,
@@ -71,23 +124,24 @@ def refresh_metrics(
     check_unique: bool = True,
     missing: str = "zero",
 ) -> str:
-    """Run the whole refresh; ``raw`` is the long table ``(series_id, freq, date, value)``."""
+    """Run the whole refresh; ``raw`` is the long table ``(series_id, freq, date, value)``.
+
+    All tables become one new version of the store at ``root``: readers of the store (``serve``) see the
+    old set or the new one. The catalog's names are views that are moved on one after another afterwards."""
     root = root or shared_dir(spark, f"{env}-tables")
     ensure_layers(spark, env, root=root)
-    names = table_names(env)
     # parity: missing values become 0 at load; ``missing='null'`` keeps them as gaps to fill
     loaded = null_to_zero(raw, "value") if missing == "zero" else raw
-    raw_t = create_table_as(loaded, names["raw"], f"{root}/raw", partition_by=["freq"])
+    last = version(spark, root)
+    parts = write_parts(loaded, root, "raw", "freq", "date")
     if check_unique:
-        assert_unique(raw_t, ["series_id"], "date")
-    for f in freqs:
-        wide = build_harmonized(raw_t, f, missing=missing)
-        create_table_as(wide, names[f"{f.name}_harmonized"], f"{root}/{f.name.lower()}_harmonized")
-    guard_tables(spark, [names[f"{f.name}_harmonized"] for f in freqs])
-    for f in freqs:
-        wide = spark.table(names[f"{f.name}_harmonized"])
-        metrics = wide_metrics(wide.select(f.date_col, *f.rates), f.date_col, f.rates)
-        create_table_as(metrics, names[f"{f.name}_metrics"], f"{root}/{f.name.lower()}_metrics")
+        assert_unique(read_parts(spark, parts), ["series_id"], "date")
+
+    def of(f: Frequency) -> DataFrame:
+        name = "DAILY" if f.name == "WEEKLY" else f.name
+        return read_parts(spark, [p for p in parts if p.part == name] or [parts[0]._replace(folder="")])
+
+    _publish_metrics(spark, parts, last.parts, freqs, env, root, of, {"raw": _select_of(parts)}, missing, last)
     return "Metric tables are up to date."
 
 
@@ -119,24 +173,45 @@ def refresh_from_files(
     missing: str = "zero",
 ) -> str:
     """The whole daily job from landed ``<SERIES>.csv`` files (``date,value`` with null
-    markers): read every file in one pass, route each series to its frequency by its id,
-    then ``refresh_metrics``. The wide tables need the series ids as column names; when
-    ``ids_by_freq`` is not given they come from the listing of the files (a row per file, no
+    markers): load the files that the store at ``root`` has not loaded yet (each is read once), route each series to its
+    frequency by its id, and publish rows and metrics as one version. The wide tables need the series ids as column
+    names; when ``ids_by_freq`` is not given they come from the ledger (a row per file, no
     contents). Rows that cannot be read are never loaded as 0: they go to the raw layer's
     ``rejected_observations`` table, and the status says how many they are."""
     from rateflow.functions.strings import route_frequency, series_from_path
-    from rateflow.sources.files import list_source_files, read_series_csv, rejected_rows, with_frequency
+    from rateflow.plans.load import loaded_files, loaded_rows, rejected_of, stage_new_files
+    from rateflow.sources.files import with_frequency
 
     root = root or shared_dir(spark, f"{env}-tables")
     ensure_layers(spark, env, root=root)
-    rejects = create_table_as(rejected_rows(spark, path), table_names(env)["rejects"], f"{root}/rejects").count()
-    raw = with_frequency(read_series_csv(spark, path, series_from="file", unreadable="drop"))
+    staged = stage_new_files(spark, path, root)
     if ids_by_freq is None:
         ids_by_freq = {}
-        ids = list_source_files(spark, path).select(series_from_path("file_path").alias("series_id")).distinct()
+        ids = loaded_files(spark, staged.parts).select(series_from_path("file_path").alias("series_id")).distinct()
         for r in ids.select(route_frequency("series_id").alias("freq"), "series_id").orderBy("freq", "series_id").collect():
             ids_by_freq.setdefault(r.freq, []).append(r.series_id)
-    raw = raw.select("series_id", "freq", "date", "value")  # at the files' own precision
     freqs = frequencies_for(ids_by_freq, list(convert), weekly=weekly)
-    status = refresh_metrics(spark, raw, freqs, env=env, root=root, missing=missing)
-    return f"{status} Rejected rows: {rejects}." if rejects else status
+    raw = with_frequency(loaded_rows(spark, staged.parts))  # at the files' own precision
+    raw = null_to_zero(raw, "value") if missing == "zero" else raw
+    assert_unique(raw, ["series_id"], "date")
+    rows = [p for p in staged.parts if p.name == "observations"]
+    ok, bad = ([p for p in rows if p.part.endswith(end)] or [rows[0]._replace(folder="")] for end in ("-ok", "-bad"))
+    value = "coalesce(value, 0D) AS value" if missing == "zero" else "value"
+    selects = {
+        "raw": _select_of(ok, f"series_id, date, {value}, {_FREQ} AS freq"),
+        "rejects": _select_of(bad, "series_id, date_text AS date, value_text AS value, file_path, reject")}
+    own = [p for p in staged.parts if p.name.startswith("observations")]
+    _publish_metrics(spark, own, staged.parts, freqs, env, root, lambda f: raw, selects, missing, staged.last)
+    rejects = rejected_of(spark, staged.parts).count()
+    return f"Metric tables are up to date. Rejected rows: {rejects}." if rejects else "Metric tables are up to date."
+
+
+def serve_published(spark: SparkSession, root: str, table: str, date: str, rates: list[str] | None = None, k: int = 20,
+                    group: str = "rates", ascending: bool = True) -> DataFrame:
+    """Newest k rows of one metric group of a published metrics table. The manifest tells the dates and rows of its
+    yearly parts, and only the newest parts that hold k rows are read, however long the history is."""
+    parts = latest_parts(version(spark, root).of(table), k)
+    df = read_parts(spark, parts)
+    if rates is None:
+        rates = [c for c in df.columns if c != date and not c.startswith((CHANGE_PREFIX, VOL_PREFIX))]
+    return serve_latest(df, date, rates, k, group, ascending)
