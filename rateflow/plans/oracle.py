@@ -109,21 +109,20 @@ def pivot_select(src: str, ids: list[str], date_alias: str, val: str = "value")
 # --- harmonized / metrics (wide) -------------------------------------------------------------------
 
 
-def harmonized_ctes(freq: str) -> list[tuple[str, str]]:
+def harmonized_ctes(freq: str, obs: str | None = None, prefix: str = "h") -> list[tuple[str, str]]:
     daily = freq == "DAILY"
     ids = C.DAILY_IDS if daily else C.MONTHLY_IDS
     convert = C.DAILY_CONVERT if daily else C.MONTHLY_CONVERT
     dcol = "DDATE" if daily else "MDATE"
-    ctes = [("h_obs", obs_sql(freq))]
+    h = prefix
+    ctes = [(f"{h}_obs", obs or obs_sql(freq))]
     if daily:
-        ctes += gap_fill_ctes("h_obs", "zero", "h_f")
-        src = "h_f"
+        ctes += gap_fill_ctes(f"{h}_obs", "zero", f"{h}_f")
     else:
-        ctes += [("h_f", f"SELECT series_id, date, {zero()} AS value FROM h_obs")]
-        src = "h_f"
-    ctes.append(("h_wide", pivot_select(src, ids, dcol)))
+        ctes += [(f"{h}_f", f"SELECT series_id, date, {zero()} AS value FROM {h}_obs")]
+    ctes.append((f"{h}_wide", pivot_select(f"{h}_f", ids, dcol)))
     conv_cols = ", ".join(f"{conv(c)} AS {c}_CONVERTED" for c in convert)
-    ctes.append(("h_conv", f"SELECT *, {conv_cols} FROM h_wide"))
+    ctes.append((f"{h}_conv", f"SELECT *, {conv_cols} FROM {h}_wide"))
     return ctes
 
 
@@ -186,6 +185,25 @@ def _layer_counts() -> str:
     )
 
 
+def changes_sql() -> str:
+    """Rows of the harmonized daily table that a second version with restated days changes."""
+    columns = C.DAILY_IDS + [f"{c}_CONVERTED" for c in C.DAILY_CONVERT]
+    restated = f"SELECT series_id, freq, date, {RESTATED_VALUE} AS value FROM ({obs_sql('DAILY')}) o"
+
+    def rows(kind: str, of: str) -> str:
+        return f"SELECT {of}.DDATE, " + ", ".join(f"{of}.{c}" for c in columns) + f", '{kind}' AS _change, 2 AS _version FROM met"
+
+    met = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in columns)
+    return with_(
+        *harmonized_ctes("DAILY"), *harmonized_ctes("DAILY", restated, "r"),
+        ("met", f"SELECT a, b FROM h_conv a JOIN r_conv b ON a.DDATE = b.DDATE WHERE NOT ({met})"),
+        select=f"{rows('update_before', 'a')} UNION ALL {rows('update_after', 'b')}")
+
+
+#: The value of the second version: twice the first days' of the months of 1995.
+RESTATED_VALUE = "CASE WHEN year(date) = 1995 AND day(date) = 1 THEN CAST(value * 2 AS DECIMAL(18,4)) ELSE value END"
+
+
 def oracle_sql() -> dict[str, str]:
     daily = f"({obs_sql('DAILY')})"
     monthly = f"({obs_sql('MONTHLY')})"
@@ -225,6 +243,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_csv_quoted": as_double,
         "scan_csv_infer": as_double,
         "inferred_schema_table": as_double,
+        "wide_headers": as_double,
+        "infer_mixed_headers": as_double,
+        "load_history": f"SELECT series_id, date, CAST(value AS DOUBLE) AS value, CASE WHEN date < {cut} THEN 1 ELSE 2 END AS load FROM {daily} d",
         "rejected_rows": f"SELECT series_id, date, 'n/a ' || CAST(date AS VARCHAR) AS value FROM {allo} a WHERE value IS NULL",
         "load_without_rejects": f"{as_double} WHERE value IS NOT NULL",
         "mixed_headers": f"SELECT series_id, date, CAST(value AS DOUBLE) + 0.0000125 AS value FROM {allo} a",
@@ -256,6 +277,13 @@ JOIN (VALUES ('1', 'URGENT', DATE '1995-01-01', CAST(1.0000 AS DECIMAL(10,4))),
         "declared_schema_table": f"SELECT series_id, date, value FROM {daily} d",
         "null_to_zero": f"SELECT series_id, freq, date, {zero()} AS value FROM {allo} a",
         "update_from_join": metrics_sql("DAILY"),
+        "update_parts": f"SELECT series_id, freq, date, {RESTATED_VALUE} AS value FROM {daily} d",
+        "serve_published": metrics_sql("DAILY").replace(
+            "SELECT * FROM mt", "SELECT DDATE, " + ", ".join(f"volatility_{c.lower()}" for c in C.DAILY_RATES) + " FROM mt ORDER BY DDATE DESC LIMIT 20"),
+        "harmonized_combined": " UNION ALL ".join(
+            f"SELECT {d} AS date, '{f}' AS freq, " + ", ".join(f"{i} AS {c}" for i, c in zip(ids, C.COMBINED)) + f" FROM ({harmonized_sql(f)}) h WHERE {d} >= DATE '{C.RANGE_START}'"
+            for f, d, ids in (("DAILY", "DDATE", C.DAILY_IDS), ("MONTHLY", "MDATE", C.MONTHLY_IDS))),
+        "table_changes": changes_sql(),
         "guard_tables": harmonized_sql("MONTHLY"),
         "env_layers": _layer_counts(),
         # projections

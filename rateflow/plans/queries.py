@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType, StringType, StructField, St
 
 from rateflow.functions.arrays import forward_fill_array
 from rateflow.functions.numeric import round_double, usd_conversion
-from rateflow.functions.sql import register_sql_functions
+from rateflow.functions.sql import register_harmonized_combined, register_sql_functions
 from rateflow.functions.strings import base_name, route_frequency, series_from_partition_dir, series_from_path, strip_prefix
 from rateflow.operators.fill import (
     date_spine,
@@ -45,7 +45,8 @@ from rateflow.operators.metrics import (
 )
 from rateflow.operators.serve import latest, serve_latest, serve_metric_group, sort_series
 from rateflow.plans import catalog as C
-from rateflow.plans.refresh import Frequency, metric_columns, refresh_metrics, table_names
+from rateflow.plans.load import load_new_files, loaded_rows
+from rateflow.plans.refresh import Frequency, metric_columns, refresh_metrics, serve_published, table_names
 from rateflow.session import shared_dir
 from rateflow.sinks.files import write_series_csv, write_series_json
 from rateflow.sinks.tables import (
@@ -56,6 +57,7 @@ from rateflow.sinks.tables import (
     null_to_zero,
     update_from,
 )
+from rateflow.sinks.versions import publish, read_version, update_parts, version, write_parts
 from rateflow.sources.files import (
     create_table_from_files,
     list_source_files,
@@ -65,6 +67,7 @@ from rateflow.sources.files import (
     with_frequency,
 )
 from rateflow.sources.tables import all_observations, order_observations
+from rateflow.streaming.changes import table_changes
 from rateflow.streaming.consume import append_to, consume, count_then_append, land
 from rateflow.streaming.refresh import read_metrics, stream_refresh
 
@@ -170,6 +173,36 @@ def mixed_headers(spark, sf):
     return read_series_csv(spark, path, series_from="dir")
 
 
+def wide_headers(spark, sf):
+    """Files of 40 columns, the observation in two of the last: a header of any width is read."""
+    path = shared_dir(spark, "landing-wide")
+    filler = [F.lit(i).alias(f"c{i}") for i in range(35)]
+    all_observations(spark, sf).select("freq", "series_id", *filler, F.col("value").alias("VALUE"), F.lit("x").alias("note"), F.col("date").alias("Date"), F.lit(0).alias("z")) \
+        .write.option("header", True).option("nullValue", ".").partitionBy("freq", "series_id").csv(path)
+    return read_series_csv(spark, path, series_from="dir")
+
+
+def infer_mixed_headers(spark, sf):
+    """Inferred types over files of two header orders: each file's columns by its own names."""
+    path = shared_dir(spark, "landing-infer")
+    obs = all_observations(spark, sf)
+    even = F.dayofmonth("date") % 2 == 0
+    for part, names in ((obs.filter(even), ("date", "value")), (obs.filter(~even), ("VALUE", "DATE"))):
+        out = part.select("freq", "series_id", *[F.col(n.lower()).alias(n) for n in names])
+        out.write.mode("append").option("header", True).option("nullValue", "").partitionBy("freq", "series_id").csv(path)
+    return read_series_csv(spark, path, infer=True, series_from="dir")
+
+
+def load_history(spark, sf):
+    """Two arrivals of files in one folder, loaded by four runs: the second and the fourth find nothing new."""
+    path, root = shared_dir(spark, "landing-history"), shared_dir(spark, "store-history")
+    for arrival in _arrivals(spark, sf):
+        write_series_csv(arrival, path, partition_by=("series_id",), mode="append")
+        for _ in range(2):
+            load_new_files(spark, path, root, series_from="dir")
+    return loaded_rows(spark, version(spark, root).parts)
+
+
 def inferred_schema_table(spark, sf):
     return create_table_from_files(spark, "rateflow_inferred_observations", _landed_csv(spark, sf, null_value=""),
                                    shared_dir(spark, "table-inferred"))
@@ -307,6 +340,21 @@ def update_from_join(spark, sf):
     return update_from(skeleton, tmp, "DDATE", metric_columns(C.DAILY_RATES))
 
 
+def update_parts_q(spark, sf):
+    """An update by key of a table in monthly parts: only the months it hits are written."""
+    root = shared_dir(spark, "store-update")
+    publish(spark, root, write_parts(_daily(spark, sf), root, "daily", BY_MONTH, "date"))
+    update_parts(spark, root, "daily", _restated(_daily(spark, sf)).filter(RESTATED), ["series_id", "date"], ["value"], BY_MONTH, "date")
+    return read_version(spark, root, "daily")
+
+
+def serve_published_q(spark, sf):
+    """The newest rows of a metric group, from the newest yearly parts of the published table."""
+    root = shared_dir(spark, "store-serve")
+    refresh_metrics(spark, all_observations(spark, sf), [DAILY, MONTHLY], env="rateflow_serve", root=root)
+    return serve_published(spark, root, "daily_metrics", "DDATE", C.DAILY_RATES, k=20, group="volatility")
+
+
 def _refresh(spark, sf, env):
     raw = all_observations(spark, sf)
     refresh_metrics(spark, raw, [DAILY, MONTHLY], env=env)
@@ -385,6 +433,15 @@ def combined_currency_table(spark, sf):
     return append_table(combined_currency_q(spark, sf).drop("freq"), name)
 
 
+def harmonized_combined(spark, sf):
+    """The harmonized tables of both frequencies through one table function, called by name."""
+    _harmonized(spark, sf, DAILY).createOrReplaceTempView("rateflow_daily_h")
+    _harmonized(spark, sf, MONTHLY).createOrReplaceTempView("rateflow_monthly_h")
+    register_harmonized_combined(
+        spark, {"DAILY": ("rateflow_daily_h", "DDATE", C.DAILY_IDS), "MONTHLY": ("rateflow_monthly_h", "MDATE", C.MONTHLY_IDS)}, list(C.COMBINED))
+    return spark.sql(f"SELECT * FROM harmonized_combined(DATE'{C.RANGE_START}')")
+
+
 def harmonize_listed(spark, sf):
     """Two of the series, in a table that has others with dates of their own."""
     return harmonize_pivot(_sparse(spark, sf), C.LISTED, out_date="DDATE")
@@ -644,6 +701,24 @@ def stream_restated(spark, sf):
     return read_metrics(spark, metrics)
 
 
+#: Days whose values the second version restates, and monthly parts.
+RESTATED = "year(date) = 1995 AND day(date) = 1"
+BY_MONTH = "date_format(date, 'yyyy-MM')"
+
+
+def _restated(obs):
+    return obs.withColumn("value", F.expr(f"CASE WHEN {RESTATED} THEN CAST(value * 2 AS DECIMAL(18,4)) ELSE value END"))
+
+
+def table_changes_q(spark, sf):
+    """The harmonized daily table, published twice: with restated days only the rows that differ come out."""
+    root = shared_dir(spark, "store-changes")
+    for obs in (_daily(spark, sf), _restated(_daily(spark, sf))):
+        wide = harmonize(obs, DAILY.ids, DAILY.convert, fill=True, missing="zero", out_date="DDATE")
+        publish(spark, root, write_parts(wide, root, "daily_harmonized", "date_format(DDATE, 'yyyy')", "DDATE"))
+    return table_changes(spark, root, "daily_harmonized", ["DDATE"], since=1)
+
+
 def stream_initial_rows(spark, sf):
     src, sink, ckpt = (shared_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
     first, second = _arrivals(spark, sf)
@@ -742,6 +817,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv_quoted": scan_csv_quoted,
     "scan_csv_infer": scan_csv_infer,
     "inferred_schema_table": inferred_schema_table,
+    "wide_headers": wide_headers,
+    "infer_mixed_headers": infer_mixed_headers,
+    "load_history": load_history,
     "mixed_headers": mixed_headers,
     "rejected_rows": rejected_rows_q,
     "load_without_rejects": load_without_rejects,
@@ -763,6 +841,8 @@ QUERIES: dict[str, Query] = {
     "declared_schema_table": declared_schema_table_q,
     "null_to_zero": null_to_zero_q,
     "update_from_join": update_from_join,
+    "update_parts": update_parts_q,
+    "serve_published": serve_published_q,
     "guard_tables": guard_tables_q,
     "env_layers": env_layers,
     # projections
@@ -776,6 +856,7 @@ QUERIES: dict[str, Query] = {
     "harmonize_listed": harmonize_listed,
     "combined_currency": combined_currency_q,
     "combined_currency_table": combined_currency_table,
+    "harmonized_combined": harmonized_combined,
     # aggregates
     "series_span": series_span_q,
     "row_count": row_count,
@@ -820,6 +901,7 @@ QUERIES: dict[str, Query] = {
     "stream_harmonized_monthly": stream_harmonized_monthly,
     "stream_initial_rows": stream_initial_rows,
     "stream_harmonized_initial_rows": stream_harmonized_initial_rows,
+    "table_changes": table_changes_q,
     "stream_pending_count": stream_pending_count,
     "stream_consume": stream_consume,
     "stream_driver_table": stream_driver_table,
