@@ -89,7 +89,11 @@ def _select_of(parts: list[Part], columns: str = "*") -> str:
     if not folders:
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
         return f"SELECT {columns} FROM (SELECT {nothing}) WHERE false"
-    return f"SELECT {columns} FROM (" + " UNION ALL ".join(f"SELECT {names} FROM parquet.`{f}`" for f in folders) + ")"
+    runs: dict[str, list[str]] = {}
+    for p in parts:
+        runs.setdefault(p.folder.rsplit("/", 1)[0], []).append(f"'{p.part}'")
+    each = [f"SELECT {names} FROM parquet.`{base}` WHERE CAST(_part AS STRING) IN ({', '.join(keys)})" for base, keys in runs.items()]
+    return f"SELECT {columns} FROM ({' UNION ALL '.join(each)})"
 
 
 def _publish_metrics(spark: SparkSession, raw_parts: list[Part], other: list[Part], freqs: list[Frequency], env: str, root: str,
@@ -99,7 +103,7 @@ def _publish_metrics(spark: SparkSession, raw_parts: list[Part], other: list[Par
     harmonized: dict[str, list[Part]] = {}
     for f in freqs:
         wide = build_harmonized(read_raw(f), f, missing=missing)
-        harmonized[f.name] = write_parts(wide, root, f"{f.name.lower()}_harmonized", BY_YEAR.format(date=f.date_col), f.date_col)
+        harmonized[f.name] = write_parts(wide, root, f"{f.name.lower()}_harmonized", BY_YEAR.format(date=f.date_col), counted=False)
         selects[f"{f.name}_harmonized"] = _select_of(harmonized[f.name])
         new += harmonized[f.name]
     for f in freqs:
@@ -133,7 +137,7 @@ def refresh_metrics(
     # parity: missing values become 0 at load; ``missing='null'`` keeps them as gaps to fill
     loaded = null_to_zero(raw, "value") if missing == "zero" else raw
     last = version(spark, root)
-    parts = write_parts(loaded, root, "raw", "freq", "date")
+    parts = write_parts(loaded, root, "raw", "freq", counted=False)
     if check_unique:
         assert_unique(read_parts(spark, parts), ["series_id"], "date")
 

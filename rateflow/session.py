@@ -56,3 +56,10 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of any file system that Spark can reach; nothing if it is not there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(f.getPath().getName() for f in files.listStatus(at) if f.isDirectory())

@@ -24,7 +24,6 @@ from pyspark.sql.types import StructType
 
 from rateflow.functions.numeric import abs_pct_change_expr, stddev_to_fixed
 from rateflow.operators.fill import gap_fill
-from rateflow.session import remove_path
 from rateflow.sinks.versions import Part, Version, publish, read_parts, read_version, version, write_parts
 from rateflow.streaming.consume import BatchFn, consume
 
@@ -104,7 +103,7 @@ def refresh_batch(spark: SparkSession, raw_path: str, metrics_path: str, missing
         parts = [f"concat(bucket, '-', {number})", "cast(bucket AS string)"]
         rows = batch.groupBy("series_id", "date").agg(F.max("value").alias("value"))
         rows = rows.withColumns({"bucket": series_bucket("series_id", buckets), "batch": F.lit(number)})
-        raw = [p for p in write_parts(rows, raw_path, "raw", parts[0]) if p.folder]
+        raw = [p for p in write_parts(rows, raw_path, "raw", parts[0], counted=False) if p.folder]
         marker = Part("batches", f"{writer}-{batch_id}", "", 0, None, None, "{}")
         others = [p for p in last.parts if not (p.name == "batches" and p.part.split("-")[0] == writer)]
         if not raw:
@@ -121,25 +120,26 @@ def refresh_batch(spark: SparkSession, raw_path: str, metrics_path: str, missing
         first = obs.groupBy("series_id", "bucket").agg(F.min("date").alias("first_date")).join(state.drop("bucket"), "series_id", "left")
         anew = F.coalesce(F.col("first_date") <= F.col("last_date"), F.lit(False))
         series = first.withColumn("anew", anew).withColumns({c: F.when(~F.col("anew"), F.col(c)) for c in ("last_date", "last_value", *_MOMENTS)})
-        series = read_parts(spark, write_parts(series, f"{metrics_path}/scratch", f"series-{number}"))
+        series = series.persist()  # from written parts: a lost block is computed again
         again = [str(r.bucket) for r in series.filter("anew").select("bucket").distinct().collect()]  # at most ``buckets`` numbers
 
         going = series.filter("NOT anew")
         starts = going.filter("last_date IS NOT NULL").select("series_id", F.col("last_date").alias("date"), F.col("last_value").cast(kind).alias("value"))
-        grid = gap_fill(obs.join(going, "series_id", "left_semi").select("series_id", "date", "value").union(starts),
+        later = obs.join(going, "series_id", "left_semi") if again else obs
+        grid = gap_fill(later.select("series_id", "date", "value").union(starts),
                         ["series_id"], "date", "value", missing=missing, block_days=block_days)
         if again:
             history = read_parts(spark, [*(p for p in last.of("raw") if str(_bucket(p)) in again), *(p for p in raw if str(_bucket(p)) in again)])
             history = _newest(history.join(series.filter("anew"), "series_id", "left_semi"), ("series_id", "date", "value"))
             grid = grid.union(gap_fill(history.select("series_id", "date", "value"), ["series_id"], "date", "value", missing=missing, block_days=block_days))
         metrics = _measured(grid, series).withColumns({"bucket": series_bucket("series_id", buckets), "batch": F.lit(number)})
-        new = write_parts(metrics, metrics_path, "metrics", parts[0])
+        new = write_parts(metrics, metrics_path, "metrics", parts[0], counted=False)
         fresh = _state(read_parts(spark, new), series)
         stays = state.join(series, "series_id", "left_anti")
-        states = write_parts(fresh.unionByName(stays), metrics_path, "state", parts[1])
+        states = write_parts(fresh.unionByName(stays), metrics_path, "state", parts[1], counted=False)
         keys = {p.part for p in states}
         publish(spark, metrics_path, [*(p for p in others if p.name != "state" or p.part not in keys), *raw, *new, *states, marker], after=last)
-        remove_path(spark, f"{metrics_path}/scratch")
+        series.unpersist()
         compact(spark, raw_path, metrics_path)
 
     return run
@@ -159,7 +159,7 @@ def compact(spark: SparkSession, raw_path: str, metrics_path: str, most: int | N
         if many:
             columns = METRICS if name == "metrics" else ("series_id", "date", "value")
             top = max(int(p.part.split("-")[1]) for p in last.of(name))
-            new += write_parts(_newest(read_parts(spark, many), columns), root, name, f"concat(bucket, '-', {top})")
+            new += write_parts(_newest(read_parts(spark, many), columns), root, name, f"concat(bucket, '-', {top})", counted=False)
             stay = [p for p in stay if p not in many]
     if not new:
         return last
