@@ -8,17 +8,18 @@ weights. Documents that agree in a whole band of registers share a bucket, and c
 verified with their exact probability Jaccard of at least ``threshold``.
 
 Without all pairs: equal word sequences are one node (64-bit hash) first. In small buckets (8
-nodes) all pairs are verified. In larger ones all nodes are compared with two leaders; those
-similar to one are settled. Where few (32) are left, these are compared with the whole bucket.
-Where more are left, the bucket is split by each of the next four bands, since similar
-documents share several bands and others hardly do, and the two steps are repeated.
-
-These rounds only join most nodes early. What they leave is verified without a cap: all nodes of
-larger buckets that still hold several components meet those of other components with which
-they share a shingle of their prefix (their rarest shingles, of more than 1 - ``threshold`` of
-their weight). Weights in common sum up to the probability Jaccard at least, so two
-documents at the threshold share such a shingle: no pair is lost by that, and texts that collide
-by a common boilerplate hardly meet. A link is missed only if its ends share no band.
+nodes) all pairs are verified. In larger ones all nodes are compared with two leaders, which joins most
+nodes of a group of copies.
+
+What that leaves is verified without a cap: all nodes of larger buckets that still hold several components
+meet those of other components with which they share a shingle of their prefix (their rarest shingles, of
+more than 1 - ``threshold`` of their weight). Weights in common sum up to the probability Jaccard at
+least, so two documents at the threshold share such a shingle: no pair is lost by that, and texts that collide
+by a common boilerplate hardly meet. Nodes that hang together by such shingles are a family; a family is cut
+into blocks of a bounded number of shingles, and each task puts one block against another: the
+weights are sent once a block, pairs are bounded by their weights in common before they are compared, and pairs of
+one component (also of one that the task has just found) are passed over. A link is missed only if its
+ends share no band.
 
 Groups are the connected components of the verified links.
 
@@ -43,12 +44,10 @@ from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
 
 BANDS, ROWS = 20, 5
 LEADERS = 2
-#: Unsettled nodes up to which all of them meet all of their bucket, round by round.
-COMPLETE = (8, 32, 32)
-#: Bands by which a bucket with more unsettled nodes is split after the first round.
-NEXT = 4
-#: Nodes of one component in a block, and blocks of one shingle that a task puts against all others.
-BLOCK, SIDE = 256, 64
+#: Nodes of a bucket up to which all of them meet.
+COMPLETE = 8
+#: Shingles of the nodes in a block of a family (a single node may have more).
+BLOCK = 1 << 18
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -125,15 +124,25 @@ def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _weights(batches):
-    """Every shingle of each text with its share of the text's weight."""
+    """Shingles of each text and how often each occurs, packed."""
     for batch in batches:
-        rows = batch.column(1).to_pylist()
+        sets = [shingles(word_hashes(t)) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([w.astype(np.int64).tobytes() for _, w in sets], pa.binary()),
+            pa.array([len(h) for h, _ in sets], pa.int32())], names=["node", "label", "hashes", "counts", "size"])
+
+
+def _shares(batches):
+    """Every shingle of each node with its share of the node's weight."""
+    for batch in batches:
+        rows = [(np.frombuffer(h, np.int64), np.frombuffer(w, np.int64)) for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         for lo in range(0, len(rows), 500):
-            sets = [shingles(word_hashes(t)) for t in rows[lo:lo + 500]]
-            nodes = np.repeat(batch.column(0).slice(lo, len(sets)).to_numpy(), [len(h) for h, _ in sets])
+            some = rows[lo:lo + 500]
+            sizes = [len(h) for h, _ in some]
             yield pa.RecordBatch.from_arrays([
-                pa.array(nodes, pa.int64()), pa.array(np.concatenate([h for h, _ in sets]).view(np.int64)),
-                pa.array(np.concatenate([w / w.sum() for _, w in sets]))], names=["node", "shingle", "part"])
+                *[pa.array(np.repeat(batch.column(c).slice(lo, len(some)).to_numpy(), sizes)) for c in (0, 1)],
+                pa.array(np.concatenate([h for h, _ in some])), pa.array(np.concatenate([w / max(w.sum(), 1) for _, w in some]))],
+                names=["node", "label", "shingle", "part"])
 
 
 def _verify(threshold: float):
@@ -155,83 +164,95 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.mapInArrow(_verify(threshold), "a long, b long, same boolean")
 
 
-def _chosen(open_: DataFrame, complete: int, seed: int) -> DataFrame:
-    """The nodes of each bucket that meet all others: every unsettled one if they are at most
-    ``complete``, else ``LEADERS`` of them by a hash of their own for each bucket."""
-    by_hash = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node", F.lit(seed)), "node")
-    some = open_.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= complete + 1)
-    some = some.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))  # complete + 1 rows at most
-    return some.filter((F.col("n") <= complete) | (F.col("place") <= LEADERS)).select("bucket", F.col("node").alias("other"))
-
-
-def _refined(members: DataFrame, open_: DataFrame, bands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members and unsettled nodes with the buckets of many unsettled nodes split by each of the
-    next ``NEXT`` bands."""
-    large = open_.groupBy("bucket").count().filter(F.col("count") > COMPLETE[1]).select("bucket")
-    at = F.array_position("bands", F.col("bucket"))
-    parts = F.array(*[F.xxhash64("bucket", F.get("bands", (at - 1 + i) % BANDS)) for i in range(1, NEXT + 1)])
-    split = members.join(large, "bucket").join(bands, "node").select("bucket", "node", F.explode(parts).alias("part"))
-    opened = split.join(open_, ["bucket", "node"]).select(F.col("part").alias("bucket"), "node")
-    left = open_.join(large, "bucket", "left_anti").unionByName(opened)
-    return members.unionByName(split.select(F.col("part").alias("bucket"), "node")), left
-
-
-def _links(members: DataFrame, bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a < b) of nodes that share a bucket, found by the bounded rounds."""
-    open_, tested = members, None
-    for i, complete in enumerate(COMPLETE):
-        chosen = written(_chosen(open_, complete, i), "chosen")
-        met = members.join(chosen, "bucket").filter(F.col("node") != F.col("other")).select(
-            "bucket", "node", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        pairs = met.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        new = written(_verified(pairs, texts, threshold), "pairs")
-        tested = new if tested is None else tested.unionByName(new)
-        settled = met.join(tested.filter("same"), ["a", "b"], "left_semi").select("bucket", "node").union(chosen)
-        if i + 1 < len(COMPLETE):
-            open_ = written(open_.join(settled.distinct(), ["bucket", "node"], "left_anti"), "open")
-            if open_.isEmpty():
-                break
-        if i == 0:
-            members, open_ = (written(x, "refined") for x in _refined(members, open_, bands))
-    return tested
-
-
-def _rest(first: DataFrame, tested: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of nodes of different components of ``tested``'s links, within the nodes of all buckets
-    of ``first`` that are larger than round one compares whole and hold several components, that
-    share a shingle of their prefixes."""
-    labels = written(components(tested.filter("same")), "labels")
-    placed = first.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+def _chosen(members: DataFrame) -> DataFrame:
+    """The nodes of each bucket that meet all others: every one if they are at most ``COMPLETE``,
+    else ``LEADERS`` of them by a hash of their own for each bucket."""
+    by_hash = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"), "node")
+    some = members.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= COMPLETE + 1)
+    some = some.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))  # COMPLETE + 1 rows at most
+    return some.filter((F.col("n") <= COMPLETE) | (F.col("place") <= LEADERS)).select("bucket", F.col("node").alias("other"))
+
+
+def _links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Verified pairs (a < b) of each bucket's nodes with its chosen ones."""
+    met = members.join(_chosen(members), "bucket").filter(F.col("node") != F.col("other"))
+    pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return written(_verified(pairs, texts, threshold), "pairs").filter("same").select("a", "b")
+
+
+def _met(threshold: float):
+    """One block of a family against another (or itself): links of nodes of different components."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        block, node, label = (rows[c].to_numpy() for c in ("block", "node", "label"))
+        sets = [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.int64)) for h, w in zip(rows["hashes"].to_pylist(), rows["counts"].to_pylist(), strict=True)]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        # places of each shingle on the left, with its share of the node's weight
+        hashes = np.concatenate([sets[k][0] for k in left]) if len(left) else np.empty(0, np.uint64)
+        shares = np.concatenate([sets[k][1] / sets[k][1].sum() for k in left]) if len(left) else np.empty(0)
+        owner = np.repeat(np.arange(len(left)), [len(sets[k][0]) for k in left])
+        order = np.argsort(hashes, kind="stable")
+        hashes, shares, owner = hashes[order], shares[order], owner[order]
+        top = {int(x): int(x) for x in np.unique(label)}
+
+        def root(x: int) -> int:
+            while top[x] != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        found = []
+        for k in right:
+            mine, count = sets[k]
+            lo, hi = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            common = np.bincount(owner[at], np.minimum(shares[at], np.repeat(count / count.sum(), n)), minlength=len(left))
+            for x in np.flatnonzero(common >= threshold - 1e-9):
+                other = left[x]
+                if (i == j and other >= k) or root(int(label[other])) == root(int(label[k])):
+                    continue
+                if probability_jaccard(sets[other], sets[k], threshold) >= threshold:
+                    found.append((min(node[other], node[k]), max(node[other], node[k])))
+                    top[root(int(label[other]))] = root(int(label[k]))
+        return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links that join components of ``links`` further: of nodes, in buckets larger than ``COMPLETE`` that hold
+    several components, that share a shingle of their prefixes."""
+    labels = written(components(links), "labels")
+    placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter(
-        (F.col("n") > COMPLETE[0]) & (F.col("low") != F.col("high"))).select("bucket")
+        (F.col("n") > COMPLETE) & (F.col("low") != F.col("high"))).select("bucket")
     nodes = written(placed.join(mixed, "bucket").select("node", "label").distinct(), "rest-nodes")
-    parts = written(texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(
-        _weights, "node long, shingle long, part double"), "rest-shingles")
+    sets = written(texts.join(nodes, "node").select("node", "label", "text").mapInArrow(
+        _weights, "node long, label long, hashes binary, counts binary, size int"), "rest-sets")
+    parts = sets.select("node", "label", "hashes", "counts").mapInArrow(_shares, "node long, label long, shingle long, part double")
     # any fixed order of shingles is right; with the rare ones first few nodes meet
-    counts = parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    seen = parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = parts.join(counts, "shingle").withColumn("before", F.coalesce(F.sum("part").over(before), F.lit(0.0)))
+    prefix = parts.join(seen, "shingle").withColumn("before", F.coalesce(F.sum("part").over(before), F.lit(0.0)))
     # a margin for the sums' rounding
-    prefix = prefix.filter((F.col("before") <= 1 - threshold + 1e-9) & (F.col("n") > 1)).select("shingle", "node")
-    prefix = prefix.join(nodes, "node")
-    sizes = prefix.groupBy("shingle", "label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    several = sizes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum("blocks") / SIDE).alias("sides")).filter("n > 1")
-    sizes = sizes.join(several.select("shingle", "sides"), "shingle")
-    blocks = written(
-        prefix.join(sizes, ["shingle", "label"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        .groupBy("shingle", "label", "block", "sides").agg(F.collect_list("node").alias("nodes")), "rest-blocks")
-    left = blocks.select("shingle", F.pmod(F.xxhash64("label", "block"), F.col("sides")).alias("side"), F.col("label").alias("x"), F.col("nodes").alias("xs"))
-    right = blocks.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)).alias("side"), F.col("label").alias("y"), F.col("nodes").alias("ys"))
-    met = left.join(right, ["shingle", "side"]).filter(F.col("x") < F.col("y")).select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return written(_verified(pairs.join(tested, ["a", "b"], "left_anti"), texts, threshold), "rest")
+    prefix = written(prefix.filter((F.col("before") <= 1 - threshold + 1e-9) & (F.col("n") > 1)).select("shingle", "node", "label"), "prefixes")
+    several = prefix.groupBy("shingle").agg(F.min("node").alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    together = prefix.join(several.select("shingle", "first"), "shingle").filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    families = components(together.distinct()).select("node", F.col("label").alias("family"))
+    sized = written(sets.join(families, "node"), "families")
+    blocks = sized.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
+    dealt = sized.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = dealt.select("family", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "label", "hashes", "counts")
+    return written(met.groupBy("family", "i", "j").applyInArrow(_met(threshold), "a long, b long"), "rest")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``node`` (equal for equal word sequences),
-    ``group_id`` (the least doc_id of its group) and ``n_links`` (verified links of its node)."""
+    ``group_id`` (the least doc_id of its group) and ``n_links`` (links of its node that were verified to
+    find the groups)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     signed = written(texts.mapInArrow(_sign, "doc_id long, node long, bands array<long>"), "signatures")
     bands = signed.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
@@ -241,9 +262,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     some = written(
         texts.select("text").mapInArrow(_with_node, "node long, text string")
         .join(needed, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    keys = signed.select("node", "bands").join(needed, "node", "left_semi").dropDuplicates(["node"])
-    tested = _links(members, written(keys, "keys"), some, threshold)
-    links = written(tested.unionByName(_rest(members, tested, some, threshold)).filter("same").select("a", "b").distinct(), "links")
+    direct = _links(members, some, threshold)
+    links = written(direct.unionByName(_rest(members, direct, some, threshold)).distinct(), "links")
     labels = components(links)
     counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     placed = (

@@ -13,12 +13,14 @@ _MIX = [np.uint64(int(x) | 1) for x in np.random.default_rng(3).integers(1 << 40
 
 
 class WordHashes(dict):
-    """64-bit hash of each word, remembered (up to a million words)."""
+    """64-bit hash of each word, remembered (up to 100,000 words of at most 40 letters: some 20 MB)."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 40:
+            if len(self) >= 100_000:
+                self.clear()
+            self[word] = found
         return found
 
 
