@@ -89,10 +89,34 @@ def test_neighbours_by_inner_product_and_odd_vectors(spark):
     got = nearest(df, F.col("vec_id") % 20 == 0, 20, block=100).collect()
     assert check_recall(got, vectors, 20) >= 0.9
     assert nearest(df.limit(0), F.lit(True)).count() == 0
-    few = nearest(df.filter("vec_id < 3"), F.col("vec_id") == 0, 20, probes=32).collect()
+    few = nearest(df.filter("vec_id < 3"), F.col("vec_id") == 0, 20).collect()
     assert sorted(r.vec_id for r in few) == [1, 2]
 
 
+def test_neighbours_of_rows_that_repeat_an_id(spark):
+    """30 rows of one id and 34 other ids with the same vector: all of the nearest are such ids."""
+    rng = np.random.default_rng(8)
+    near, far = [1.0, *[0.0] * 9], rng.normal(size=(60, 10))
+    far = 0.5 * far / np.linalg.norm(far, axis=1, keepdims=True)
+    rows = [(5, near)] * 30 + [(i, near) for i in range(6, 40)] + [(100 + i, v.tolist()) for i, v in enumerate(far)]
+    df = spark.createDataFrame([(i, v, 1, 1, 1.0) for i, v in rows], "vec_id long, embedding array<double>, class int, range int, weight double")
+    got = sorted((r.rank, r.vec_id, r.score) for r in nearest(df, F.col("vec_id") == 5, 20).collect())
+    assert got == [(i + 1, 6 + i, 1.0) for i in range(20)]
+
+
+def test_neighbours_hash_and_score_a_part(spark):
+    """Most rows lie in no probed bucket, and the result is whole."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(20, 32))[rng.integers(0, 20, 4000)] + 0.3 * rng.normal(size=(4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest(df, F.col("vec_id") % 100 == 0, 20, block=700).collect()
+    effort = {r.query_id: r.n_scored for r in got}
+    assert len(effort) == 40 and np.mean(list(effort.values())) < 0.2 * len(x)
+    hits = sum(r.vec_id in set(sorted((i for i in range(len(x)) if i != r.query_id), key=(-(x @ x[r.query_id])).__getitem__)[:20]) for r in got[:200])
+    assert len(got) == 800 and hits >= 180
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (50, 60)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
