@@ -1,7 +1,7 @@
 """Language ID with hyperdimensional profiles.
 
-Each symbol (a to z, a gap for runs of anything that is no letter, and five classes of other
-letters) has a random +1/-1 vector. A letter trigram is bound as the product of its letters'
+Each letter of any script, and a gap for runs of anything that is no letter, has a random +1/-1
+vector, drawn by a hash of its code point. A letter trigram is bound as the product of its letters'
 vectors, permuted (rotated) by their places; a document bundles (adds) its trigrams; a
 language's prototype bundles its training documents. A document gets the language whose
 prototype, less the mean of all prototypes, has the greatest cosine with its own vector.
@@ -27,26 +27,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 DIMENSIONS = 512
-_SYMBOLS = 32
+#: The gap and a to z: their trigrams' vectors are kept, others are made where they occur.
+_PLAIN = 27
 UNKNOWN = "und"
 
 
 @lru_cache(1)
 def _symbol_table() -> np.ndarray:
-    """Symbol of each code point: 0 for no letter, 1 to 26 for a to z, 27 to 31 for others."""
-    table = np.array([27 + c % 5 if chr(c).isalpha() else 0 for c in range(0x110000)], np.uint8)
-    table[97:123] = np.arange(1, 27)
+    """Symbol of each code point: 0 for no letter, 1 to 26 for a to z, else the code point."""
+    table = np.array([c if chr(c).isalpha() else 0 for c in range(0x110000)], np.uint32)
+    table[97:123] = np.arange(1, _PLAIN)
     return table
 
 
+def _letters(symbols: np.ndarray) -> np.ndarray:
+    """Each symbol's vector: the bits of a hash (splitmix64) of the symbol and the place."""
+    words = DIMENSIONS // 64
+    with np.errstate(over="ignore"):
+        x = (symbols.astype(np.uint64)[:, None] * np.uint64(words) + np.arange(1, words + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    bits = np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    return bits.astype(np.int8) * np.int8(2) - np.int8(1)
+
+
+def _bound(trigrams: np.ndarray) -> np.ndarray:
+    """Vectors of trigrams (rows of three symbols)."""
+    used, at = np.unique(trigrams, return_inverse=True)
+    vectors, at = _letters(used), at.reshape(trigrams.shape)
+    return np.roll(vectors, 2, axis=1)[at[:, 0]] * np.roll(vectors, 1, axis=1)[at[:, 1]] * vectors[at[:, 2]]
+
+
 @lru_cache(1)
-def _trigram_vectors() -> np.ndarray:
-    """Bound vector of each trigram of symbols."""
-    rng = np.random.default_rng(20)
-    letters = rng.integers(0, 2, (_SYMBOLS, DIMENSIONS)).astype(np.float32) * 2 - 1
-    first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-    pairs = (first[:, None] * second[None]).reshape(-1, 1, DIMENSIONS)
-    return (pairs * letters[None]).reshape(-1, DIMENSIONS)
+def _plain_trigrams() -> np.ndarray:
+    """Vectors of the trigrams of gaps and a to z."""
+    return _bound(np.stack(np.unravel_index(np.arange(_PLAIN**3), (_PLAIN,) * 3), axis=1))
 
 
 def bundle(text: str | None) -> np.ndarray | None:
@@ -60,10 +76,16 @@ def bundle(text: str | None) -> np.ndarray | None:
         return None
     # one gap before and behind
     symbols = np.concatenate(([0] * int(symbols[0] != 0), symbols, [0] * int(symbols[-1] != 0))).astype(np.int64)
-    trigrams = (symbols[:-2] * _SYMBOLS + symbols[1:-1]) * _SYMBOLS + symbols[2:]
-    counts = np.bincount(trigrams, minlength=_SYMBOLS**3)
+    trigrams = np.stack((symbols[:-2], symbols[1:-1], symbols[2:]), axis=1)
+    plain = (trigrams < _PLAIN).all(axis=1)
+    counts = np.bincount((trigrams[plain, 0] * _PLAIN + trigrams[plain, 1]) * _PLAIN + trigrams[plain, 2], minlength=_PLAIN**3)
     used = np.flatnonzero(counts)
-    return counts[used].astype(np.float32) @ _trigram_vectors()[used]
+    total = counts[used].astype(np.float32) @ _plain_trigrams()[used].astype(np.float32)
+    if not plain.all():
+        others, counts = np.unique(trigrams[~plain], axis=0, return_counts=True)
+        for i in range(0, len(others), 4096):
+            total += counts[i:i + 4096].astype(np.float32) @ _bound(others[i:i + 4096]).astype(np.float32)
+    return total
 
 
 def _train(batches):
