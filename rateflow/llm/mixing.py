@@ -28,6 +28,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rateflow.llm.common import written
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -75,7 +77,13 @@ def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None =
     ``block`` and ``slot`` (place in the block, from 0)."""
     counted = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)) + 1).cast("long").alias("n_tokens"))
+        (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)) + 1).cast("long").alias("n_tokens"), F.xxhash64("text").alias("_text"))
+    # rows that are alike are counted, then told apart by a number: none of them share a place in the
+    # permutation, whatever the id. Two steps, so that no array holds all copies of a row
+    alike = counted.groupBy("_id", "source", "n_tokens", "_text").agg(F.count(F.lit(1)).alias("_copies"))
+    counted = written(
+        alike.withColumn("_from", F.explode(F.expr("sequence(0, _copies - 1, 4096)")))
+        .withColumn("_copy", F.explode(F.expr("sequence(_from, least(_from + 4096, _copies) - 1)"))).drop("_copies", "_from"), "counted")
     have = {r.source: (r.tokens, r.rows) for r in counted.groupBy("source").agg(
         F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).collect()}
     quota = quotas({s: t for s, (t, _) in have.items()}, repetition, entropy) if have else {}
@@ -89,7 +97,7 @@ def mix(docs: DataFrame, repetition: float | None = 2.0, entropy: float | None =
     drawn = (
         counted.join(target, "source")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.expr("cast((quota - 1) div tokens as int)"))))
-        .withColumn("_sum", F.md5(F.concat_ws(":", F.col("_id").cast("string"), F.col("epoch")).cast("binary")))
+        .withColumn("_sum", F.md5(F.concat_ws(":", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_text", "_copy", "epoch").cast("binary")))
         .withColumn("_range", F.expr(f"cast(conv(substr(_sum, 1, 8), 16, 10) as bigint) * {ranges} div 4294967296"))
     )
     inside = Window.partitionBy("source", "epoch", "_range").orderBy("_sum", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from rateflow.llm.common import written
+
 # Fixed value: the published generator's multiplier, in 32-bit and 16-bit parts.
 MULTIPLIER = 2862933555777941757
 _HIGH, _LOW = MULTIPLIER >> 32, MULTIPLIER & 0xFFFFFFFF
@@ -59,27 +61,27 @@ def jump_shards(df: DataFrame, key: str, shards: int, rows_per_block: int = 100_
     """``df`` with ``shard``, ``grown_shard`` (with one more shard) and ``slot``, a gapless
     number from 0 within the shard.
 
-    Slots need no shard in one task: rows are numbered within blocks (hashes of the key) of
-    about ``rows_per_block`` rows, after the rows of the shard's earlier blocks, which come
-    from counts alone. A key whose rows repeat stays in one block, dealt further by the other
-    columns' hash."""
+    Slots need no shard in one task: rows are numbered within blocks of about ``rows_per_block``
+    rows, after the rows of the shard's earlier blocks, which come from counts alone. A row's
+    block is a hash of its place in the table, written first so that the place holds, so rows
+    that are equal in all columns are spread as well."""
     as_long = F.col(key).cast("long") if isinstance(df.schema[key].dataType, IntegralType) else F.when(
         F.col(key).isNotNull(), F.xxhash64(F.col(key)))
+    df = written(df.withColumn("_place", F.monotonically_increasing_id()), "placed")
     # the block count follows the table, so a block's rows stay bounded at every size
     blocks = max(1, -(-df.count() // (shards * rows_per_block)))
-    everything = [F.col(c) for c in df.columns if df.schema[c].dataType.simpleString()[:3] != "map"]
     placed = df.withColumns({
         "shard": jump_shard(as_long, shards),
         "grown_shard": jump_shard(as_long, shards + 1),
-        "_block": F.pmod(F.xxhash64(*everything), F.lit(blocks)),
+        "_block": F.pmod(F.xxhash64("_place"), F.lit(blocks)),
     })
     counts = placed.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("shard", "_block", F.coalesce(F.sum("_rows").over(earlier), _long(0)).alias("_before"))
-    inside = Window.partitionBy("shard", "_block").orderBy(key, F.xxhash64(*everything))
+    inside = Window.partitionBy("shard", "_block").orderBy(key, "_place")
     numbered = placed.withColumn("_row", F.row_number().over(inside).cast("long"))
     return (
         numbered.join(before, ["shard", "_block"])
         .withColumn("slot", F.col("_before") + F.col("_row") - 1)
-        .drop("_block", "_before", "_row")
+        .drop("_block", "_before", "_row", "_place")
     )
