@@ -22,7 +22,7 @@ each single window, so that no task gets all of its rows.
 Order: smaller ``doc_id`` first (null first), then the document's 64-bit key, then start.
 Defined cases: null text is empty; documents shorter than ``depth`` are kept whole; rows that
 repeat doc_id and text are one document, which each of them returns; an empty table gives an
-empty result; extra columns are not carried (join them back by ``doc_id``).
+empty result; ``cut_repeats`` carries all columns along, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,9 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from rateflow.llm.common import doc_key
 
@@ -305,31 +307,36 @@ def _repeated_spans(depth: int, rows_at_once: int = 20_000):
     return run
 
 
-def _cut(batches):
-    """Merge each document's spans and take them out."""
-    for batch in batches:
-        n, spans, kept = [], [], []
-        for data, found in zip(_texts(batch.column(2)), batch.column(3), strict=True):
-            merged: list[list[int]] = []
-            for s, e in sorted((x["start"], x["end"]) for x in (found.as_py() or [])):
-                if merged and s <= merged[-1][1]:
-                    merged[-1][1] = max(e, merged[-1][1])
-                else:
-                    merged.append([s, e])
-            raw, at, parts = data.tobytes(), 0, []
-            for s, e in merged:
-                parts.append(raw[at:s])
-                at = e
-            n.append(len(raw))
-            spans.append([{"start": s, "end": e} for s, e in merged])
-            kept.append(b"".join([*parts, raw[at:]]))
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["_k", "doc_id", "n_bytes", "spans", "kept"])
+def _cut(text_at: int):
+    """Map step over (_k, _row, spans): merge each row's spans and take them out of its text, the
+    ``text_at``-th field of ``_row``."""
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    def run(batches):
+        for batch in batches:
+            n, spans, kept = [], [], []
+            for data, found in zip(_texts(pc.struct_field(batch.column(1), text_at)), batch.column(2), strict=True):
+                merged: list[list[int]] = []
+                for s, e in sorted((x["start"], x["end"]) for x in (found.as_py() or [])):
+                    if merged and s <= merged[-1][1]:
+                        merged[-1][1] = max(e, merged[-1][1])
+                    else:
+                        merged.append([s, e])
+                raw, at, parts = data.tobytes(), 0, []
+                for s, e in merged:
+                    parts.append(raw[at:s])
+                    at = e
+                n.append(len(raw))
+                spans.append([{"start": s, "end": e} for s, e in merged])
+                kept.append(b"".join([*parts, raw[at:]]))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["_k", "_row", "n_bytes", "spans", "kept"])
 
-def repeated_spans(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``_k`` (``doc_key``), ``n_bytes``, ``spans`` (the
-    maximal removed byte runs, in order) and ``kept`` (the bytes that stay)."""
+    return run
+
+
+def cut_repeats(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
+    """One row per row of ``docs``: ``_k`` (``doc_key``), ``_row`` (all of its columns), ``n_bytes``,
+    ``spans`` (the maximal removed byte runs, in order) and ``kept`` (the bytes that stay)."""
     base = docs.select(doc_key().alias("k"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found = (
         base.select("k", "text").mapInArrow(_anchor_rows(depth), "h long, k long, a long, more binary")
@@ -344,5 +351,13 @@ def repeated_spans(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT
         .mapInArrow(_repeated_spans(depth), "k long, start long, end long")
         .groupBy("k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
-    return base.join(spans, "k", "left").select("k", "doc_id", "text", "spans").mapInArrow(
-        _cut, "_k long, doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    rows = docs.select(doc_key().alias("_k"), F.struct("*").alias("_row"))
+    joined = rows.join(spans, F.col("_k") == F.col("k"), "left").select("_k", "_row", "spans")
+    out = StructType([*rows.schema.fields]).add("n_bytes", "long").add("spans", ArrayType(StructType().add("start", LongType()).add("end", LongType()))).add("kept", "binary")
+    return joined.mapInArrow(_cut(docs.columns.index("text")), out)
+
+
+def repeated_spans(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
+    """``cut_repeats`` with ``doc_id`` in the place of the row's columns."""
+    cut = cut_repeats(docs.select("doc_id", "text"), depth, hot)
+    return cut.select("_k", F.col("_row.doc_id").cast("long").alias("doc_id"), "n_bytes", "spans", "kept")

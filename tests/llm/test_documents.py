@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import rateflow.llm.language_id as L
 from rateflow.llm import queries as Q
 from rateflow.llm.language_id import identify
 from rateflow.llm.licences import scan
@@ -195,6 +196,24 @@ def test_language_of_odd_rows(odd, none):
     assert all(0 <= r.score <= 1 for r in rows) and rows[0].asDict().keys() >= {"node", "lang", "score"}
 
 
+def test_languages_in_other_scripts(spark):
+    """Letters beyond a to z have vectors of their own."""
+    words = {"el": "ένα μικρό κείμενο στα ελληνικά με λίγες λέξεις για όλους", "ru": "небольшой текст на русском языке для всех читателей и людей",
+             "uk": "невеликий текст українською мовою для всіх читачів і людей їхніх", "ja": "これは日本語の短い文章です皆さんのためのもの", "de": "größere Bücher über süße Äpfel und schöne Häuser"}
+    rng = np.random.default_rng(3)
+    rows = [(100 * i + j, " ".join(rng.permutation(w.split())) if " " in w else w[j % 5:], lang) for i, (lang, w) in enumerate(words.items()) for j in range(40)]
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.lang_pred == r.lang and r.score > 0.3 for r in got)
+
+
+def test_letters_are_bound_as_described():
+    text = "été Дом"
+    symbols = [0, *(ord(c) if ord(c) > 122 else ord(c) - 96 for c in "été"), 0, *(ord(c) for c in "дом"), 0]
+    letter = {s: L._letters(np.array([s]))[0].astype(int) for s in symbols}
+    want = sum(np.roll(letter[a], 2) * np.roll(letter[b], 1) * letter[c] for a, b, c in zip(symbols, symbols[1:], symbols[2:]))
+    assert (L.bundle(text) == want).all()
+
+
 def plain_counts(text):
     import re
 
@@ -231,6 +250,10 @@ def test_shards(odd, none, spark):
     ids = spark.range(-300, 3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("shard"))
     rows = jump_shards(ids, "doc_id", 40, rows_per_block=10).collect()
     assert all((r.shard, r.grown_shard) == (jump(r.doc_id % 2**64, 40), jump(r.doc_id % 2**64, 41)) for r in rows)
+    for shard, n in Counter(r.shard for r in rows).items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+    same = spark.range(2000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(1).alias("size"))
+    rows = jump_shards(same, "doc_id", 4, rows_per_block=50).collect()
     for shard, n in Counter(r.shard for r in rows).items():
         assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
     assert jump_shards(odd, "doc_id", 5).count() == odd.count() and jump_shards(none, "doc_id", 5).count() == 0
@@ -258,6 +281,11 @@ def test_mixing(odd, none, spark):
     assert n > 4 and all(abs(b[s] - want[s] / n) <= 100 for b in list(blocks.values())[:-1] for s in want)
     for b in blocks:
         assert sorted(r.slot for r in rows if r.block == b) == list(range(sum(r.block == b for r in rows)))
+    # a third of the rows bear no id and are alike: each is drawn, at a place of its own
+    hot = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("one two").alias("text"),
+                                   F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("source"))
+    rows = mix(hot, 2.0, block_tokens=3000, rows_per_range=100).collect()
+    assert sum(r.doc_id is None and r.epoch == 0 for r in rows) == 3000 and len({(r.block, r.slot) for r in rows}) == len(rows)
     assert mix(odd).filter("epoch = 0").count() == odd.count() and mix(none).count() == 0
 
 

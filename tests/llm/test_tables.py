@@ -144,6 +144,17 @@ def test_stages_decide_as_their_operators(spark, odd):
     assert set(ids(P.mixing)) == {r.doc_id or 0 for r in odd.collect()}
 
 
+def test_suffix_dedup_stage_keeps_every_column(spark):
+    """Columns ride along whatever their names, null texts go, and cuts are the operator's."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "first " + passage, 5, "k1"), (2, passage + " rest", 6, None), (3, None, 7, "k3"), (4, "short é", 8, "k4"), (4, "short é", 8, "k4")]
+    docs = spark.createDataFrame([(*r, "s", "r") for r in rows], "doc_id int, text string, n_chars int, k string, spans string, _row string")
+    out = P.suffix_dedup(spark, docs, SF)
+    assert out.schema == docs.schema
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [(1, rows[0][1], len(rows[0][1]), "k1", "s", "r"), (2, " rest", 5, None, "s", "r"), (4, "short é", 7, "k4", "s", "r"), (4, "short é", 7, "k4", "s", "r")]
+
+
 @on_tables
 def test_pipeline_equals_its_stages(spark, tmp):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
