@@ -13,13 +13,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import doc_key, written
+from rateflow.llm.common import written
 from rateflow.llm.language_id import UNKNOWN, identify
 from rateflow.llm.mixing import mix
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.packing import pack
 from rateflow.llm.queries import END_ID, SEQUENCE, VOCABULARY
-from rateflow.llm.suffix_dedup import repeated_spans
+from rateflow.llm.suffix_dedup import cut_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,17 +43,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated 100-byte strings are cut out of the texts; documents left without a word go.
     Bytes of a character that was cut in two go with it."""
-    columns = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = repeated_spans(docs, 100).filter(F.size("spans") > 0).select(
-        F.col("_k").alias("_cut"), F.expr("try_validate_utf8(cast(kept as string))").alias("_whole"), "kept").dropDuplicates(["_cut"])
-    joined = docs.withColumn("_k", doc_key()).join(cut, F.col("_k") == F.col("_cut"), "left")
+    # the other columns ride along, so the texts are shuffled once for their cuts
+    cut = cut_repeats(docs, 100)
     # a cut inside a character leaves bytes that are no text: they are replaced, then dropped
-    mended = F.coalesce("_whole", F.translate(F.expr("make_valid_utf8(cast(kept as string))"), "�", ""))
-    text = F.when(F.col("_cut").isNotNull(), mended).otherwise(F.col("text"))
-    out = joined.withColumn("text", text).filter(F.col("text").rlike(r"\S"))
+    mended = F.coalesce(F.expr("try_validate_utf8(cast(kept as string))"), F.translate(F.expr("make_valid_utf8(cast(kept as string))"), "�", ""))
+    cut = cut.withColumn("_text", F.when(F.size("spans") > 0, mended).otherwise(F.col("_row.text"))).filter(F.col("_text").rlike(r"\S"))
+    changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns) if columns else out.select("text")
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[changed.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
