@@ -76,15 +76,17 @@ def bundle(text: str | None) -> np.ndarray | None:
         return None
     # one gap before and behind
     symbols = np.concatenate(([0] * int(symbols[0] != 0), symbols, [0] * int(symbols[-1] != 0))).astype(np.int64)
-    trigrams = np.stack((symbols[:-2], symbols[1:-1], symbols[2:]), axis=1)
-    plain = (trigrams < _PLAIN).all(axis=1)
-    counts = np.bincount((trigrams[plain, 0] * _PLAIN + trigrams[plain, 1]) * _PLAIN + trigrams[plain, 2], minlength=_PLAIN**3)
+    first, second, third = symbols[:-2], symbols[1:-1], symbols[2:]
+    small = symbols < _PLAIN
+    plain = slice(None) if (same := small.all()) else small[:-2] & small[1:-1] & small[2:]
+    counts = np.bincount((first[plain] * _PLAIN + second[plain]) * _PLAIN + third[plain], minlength=_PLAIN**3)
     used = np.flatnonzero(counts)
     total = counts[used].astype(np.float32) @ _plain_trigrams()[used].astype(np.float32)
-    if not plain.all():
-        others, counts = np.unique(trigrams[~plain], axis=0, return_counts=True)
+    if not same:
+        others, counts = np.unique(((first << 42) | (second << 21) | third)[~plain], return_counts=True)
         for i in range(0, len(others), 4096):
-            total += counts[i:i + 4096].astype(np.float32) @ _bound(others[i:i + 4096]).astype(np.float32)
+            part = others[i:i + 4096]
+            total += counts[i:i + 4096].astype(np.float32) @ _bound(np.stack((part >> 42, (part >> 21) & 0x1FFFFF, part & 0x1FFFFF), axis=1)).astype(np.float32)
     return total
 
 
