@@ -186,8 +186,9 @@ def _parts(raw: bytes, depth: int, at: int, lo: int, hi: int, hash_: int, width:
         yield key, max(lo, far), min(hi, near)
 
 
-def _contexts(depth: int):
-    """Map step: for each repeated anchor the bytes of its windows, dealt by ``WIDTHS``.
+def _contexts(depth: int, id_at: int, text_at: int):
+    """Map step over (_k, _row, codes): for each repeated anchor the bytes of its windows, dealt by
+    ``WIDTHS``. ``id_at`` and ``text_at`` are the places of doc_id and text in ``_row``.
 
     A context that the batch has already (in the document order) is known to be repeated:
     such spans are merged within their document, and sent without bytes (``known`` is the
@@ -195,9 +196,10 @@ def _contexts(depth: int):
 
     def run(batches):
         for batch in batches:
-            docs, keys = batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)
+            row, keys, codes = batch.column(1), batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+            docs = pc.struct_field(row, id_at).cast(pa.int64())
             ids = np.array([-(1 << 63) if x is None else x for x in docs.to_pylist()], np.int64)
-            texts, codes = list(_texts(batch.column(2))), batch.column(3)
+            texts = list(_texts(pc.struct_field(row, text_at)))
             seen: dict[tuple[int, int, bytes], tuple[int, int]] = {}
             out: list[tuple] = []
             for i in np.lexsort((keys, ids)):
@@ -337,24 +339,26 @@ def _cut(text_at: int):
 def cut_repeats(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
     """One row per row of ``docs``: ``_k`` (``doc_key``), ``_row`` (all of its columns), ``n_bytes``,
     ``spans`` (the maximal removed byte runs, in order) and ``kept`` (the bytes that stay)."""
-    base = docs.select(doc_key().alias("k"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    base = docs.select(doc_key().alias("k"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found = (
         base.select("k", "text").mapInArrow(_anchor_rows(depth), "h long, k long, a long, more binary")
         .repartition("h").sortWithinPartitions("h")
         .mapInArrow(_repeated_places(hot), "k long, code long")
         .groupBy("k").agg(F.collect_set("code").alias("codes"))
     )
+    # both joins take whole rows by their key, so the texts are shuffled once for the two
+    rows = docs.select(doc_key().alias("_k"), F.struct("*").alias("_row"))
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     spans = (
-        base.join(found, "k").select("k", "doc_id", "text", "codes")
-        .mapInArrow(_contexts(depth), "key long, reach int, context binary, doc_id long, k long, start long, known long")
+        rows.join(found, F.col("_k") == F.col("k")).select("_k", "_row", "codes")
+        .mapInArrow(_contexts(depth, id_at, text_at), "key long, reach int, context binary, doc_id long, k long, start long, known long")
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_repeated_spans(depth), "k long, start long, end long")
         .groupBy("k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
-    rows = docs.select(doc_key().alias("_k"), F.struct("*").alias("_row"))
     joined = rows.join(spans, F.col("_k") == F.col("k"), "left").select("_k", "_row", "spans")
     out = StructType([*rows.schema.fields]).add("n_bytes", "long").add("spans", ArrayType(StructType().add("start", LongType()).add("end", LongType()))).add("kept", "binary")
-    return joined.mapInArrow(_cut(docs.columns.index("text")), out)
+    return joined.mapInArrow(_cut(text_at), out)
 
 
 def repeated_spans(docs: DataFrame, depth: int = 100, hot: tuple[int, int] = HOT) -> DataFrame:
