@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.session import shared_dir
+from rateflow.session import remove_path, shared_dir
+
+#: Folders written in each open ``scratch`` block.
+_OPEN: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` in this block are deleted when it ends, but for those with ``keep=True``, which
+    pass to the block around it. What leaves the block must be read from a kept table alone."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.pop()
+        for path in made:
+            remove_path(spark, path)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and read it back, so
     that a lost executor costs a reread, not a recomputation of all that came before."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    around = _OPEN[:-1] if keep else _OPEN
+    if around:
+        around[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
