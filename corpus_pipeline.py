@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import written
+from rateflow.llm.common import scratch, written
 from rateflow.llm.language_id import UNKNOWN, identify
 from rateflow.llm.mixing import mix
 from rateflow.llm.near_dedup import near_duplicates
@@ -34,9 +34,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows are alike."""
     # a row's number tells rows that repeat an id apart
     numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "group_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first")
-    stay = numbered.select("_row", "doc_id").join(groups, "_row").groupBy("group_id").agg(first).select(F.col("first._row").alias("_row"))
+    with scratch(spark):  # signatures and texts of the search go once its rows are known
+        groups = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "group_id")
+        stay = numbered.select("_row", "doc_id").join(groups, "_row").groupBy("group_id").agg(first)
+        stay = written(stay.select(F.col("first._row").alias("_row")), "stay", keep=True)
     return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
@@ -83,5 +85,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
