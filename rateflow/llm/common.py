@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,14 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, some at a time and without copies, so that a worker holds the Python objects
+    made of a few rows, not of a whole batch."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Identity of a document: 64 bits of its id and text. Rows that repeat both are one
     document; rows that repeat the id with another text are told apart."""

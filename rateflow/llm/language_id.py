@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rateflow.llm.common import sliced
+
 DIMENSIONS = 512
 #: The gap and a to z: their trigrams' vectors are kept, others are made where they occur.
 _PLAIN = 27
@@ -92,7 +94,7 @@ def bundle(text: str | None) -> np.ndarray | None:
 
 def _train(batches):
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in sliced(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if (v := bundle(text)) is not None:
                 own = sums.setdefault(lang, np.zeros(DIMENSIONS, np.int64))
@@ -127,7 +129,7 @@ def classify(docs: DataFrame, languages: list[str], profiles: np.ndarray) -> Dat
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             names, scores = [], []
             for text in batch.column(at).to_pylist():
                 v = bundle(text) if languages else None

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import written
+from rateflow.llm.common import sliced, written
 from rateflow.llm.components import components
 from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
 
@@ -100,20 +100,18 @@ def _node(text: str, words: np.ndarray) -> int:
 
 
 def _sign(batches):
-    for batch in batches:
+    for batch in sliced(batches, 500):
         rows = batch.column(1).to_pylist()
-        for lo in range(0, len(rows), 500):
-            words = [word_hashes(t) for t in rows[lo:lo + 500]]
-            nodes = [_node(t, w) for t, w in zip(rows[lo:lo + 500], words, strict=True)]
-            keys = band_keys(signatures([shingles(w) for w in words]))
-            bands = [k if len(w) else [] for k, w in zip(keys.tolist(), words, strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(lo, len(words)), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "bands"])
+        words = [word_hashes(t) for t in rows]
+        nodes = [_node(t, w) for t, w in zip(rows, words, strict=True)]
+        keys = band_keys(signatures([shingles(w) for w in words]))
+        bands = [k if len(w) else [] for k, w in zip(keys.tolist(), words, strict=True)]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
 
 
 def _with_node(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         nodes = [_node(t, word_hashes(t)) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], names=["node", "text"])
 
@@ -125,7 +123,7 @@ def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _weights(batches):
     """Shingles of each text and how often each occurs, packed."""
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingles(word_hashes(t)) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([w.astype(np.int64).tobytes() for _, w in sets], pa.binary()),
@@ -134,20 +132,18 @@ def _weights(batches):
 
 def _shares(batches):
     """Every shingle of each node with its share of the node's weight."""
-    for batch in batches:
+    for batch in sliced(batches, 500):
         rows = [(np.frombuffer(h, np.int64), np.frombuffer(w, np.int64)) for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        for lo in range(0, len(rows), 500):
-            some = rows[lo:lo + 500]
-            sizes = [len(h) for h, _ in some]
-            yield pa.RecordBatch.from_arrays([
-                *[pa.array(np.repeat(batch.column(c).slice(lo, len(some)).to_numpy(), sizes)) for c in (0, 1)],
-                pa.array(np.concatenate([h for h, _ in some])), pa.array(np.concatenate([w / max(w.sum(), 1) for _, w in some]))],
-                names=["node", "label", "shingle", "part"])
+        sizes = [len(h) for h, _ in rows]
+        yield pa.RecordBatch.from_arrays([
+            *[pa.array(np.repeat(batch.column(c).to_numpy(), sizes)) for c in (0, 1)],
+            pa.array(np.concatenate([h for h, _ in rows])), pa.array(np.concatenate([w / max(w.sum(), 1) for _, w in rows]))],
+            names=["node", "label", "shingle", "part"])
 
 
 def _verify(threshold: float):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             same = [probability_jaccard(_weighted(x), _weighted(y), threshold) >= threshold for x, y in zip(
                 batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])

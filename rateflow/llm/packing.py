@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import doc_key
+from rateflow.llm.common import doc_key, sliced
 
 #: Words remembered per Python worker; beyond it the memory starts anew.
 WORDS_KEPT = 600_000
@@ -149,7 +149,7 @@ def _pieces(path: str, end_id: int, window: int):
     def run(batches):
         encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
         end, row = np.array([end_id], "<u4").tobytes(), 0
-        for batch in batches:
+        for batch in sliced(batches):
             out: list[tuple] = []
             size = 0
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):

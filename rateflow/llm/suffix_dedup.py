@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from rateflow.llm.common import doc_key
+from rateflow.llm.common import doc_key, sliced
 
 GRAM = 32
 #: Occurrences above which an anchor's windows are dealt out in parts, and by how many windows a
@@ -105,7 +105,7 @@ def _anchor_rows(depth: int):
     schema = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("a", pa.int64()), ("more", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             hs, ks, at = [], [], []
             for key, data in zip(keys, _texts(batch.column(1)), strict=True):
@@ -315,7 +315,7 @@ def _cut(text_at: int):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             n, spans, kept = [], [], []
             for data, found in zip(_texts(pc.struct_field(batch.column(1), text_at)), batch.column(2), strict=True):
                 merged: list[list[int]] = []

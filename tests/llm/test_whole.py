@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 import rateflow.llm.near_dedup as N
+from rateflow.llm.common import sliced
 from rateflow.llm.licences import scan
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
@@ -32,6 +33,14 @@ def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
     assert got == {i: i - 1000 if i >= 1000 else i for i, _ in docs}
 
 
+def test_batches_in_slices():
+    """A whole batch is never turned into Python objects at once."""
+    batch = pa.record_batch([pa.array([f"text {i}" for i in range(2500)])], names=["text"])
+    assert [len(b) for b in sliced([batch, batch.slice(0, 0)])] == [1000, 1000, 500]
+    got = list(N._with_node([batch]))
+    assert max(map(len, got)) == 1000 and pa.concat_arrays([b.column(1) for b in got]).equals(batch.column(0))
+
+
 def recall(spark, x, queries, **args):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     found: dict[int, set] = {}
