@@ -162,8 +162,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def _chosen(members: DataFrame) -> DataFrame:
     """The nodes of each bucket that meet all others: every one if they are at most ``COMPLETE``,
-    else ``LEADERS`` of them by a hash of their own for each bucket."""
-    by_hash = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"), "node")
+    else ``LEADERS`` of them by a hash. The hash is the same in every bucket, so that the many buckets of a
+    large group have few leaders between them, and a node of the group meets each of these once."""
+    by_hash = Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node")
     some = members.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= COMPLETE + 1)
     some = some.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))  # COMPLETE + 1 rows at most
     return some.filter((F.col("n") <= COMPLETE) | (F.col("place") <= LEADERS)).select("bucket", F.col("node").alias("other"))

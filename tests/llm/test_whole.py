@@ -33,6 +33,13 @@ def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
     assert got == {i: i - 1000 if i >= 1000 else i for i, _ in docs}
 
 
+def test_leaders_of_a_large_group(spark):
+    """A group of 300 in the same buckets of all bands has two leaders in all, not two a band."""
+    members = spark.range(300).selectExpr("explode(sequence(1L, 20L)) as bucket", "id as node")
+    chosen = N._chosen(members).groupBy("bucket").agg(F.sort_array(F.collect_set("other")).alias("others")).collect()
+    assert len(chosen) == 20 and len({tuple(r.others) for r in chosen}) == 1 and len(chosen[0].others) == N.LEADERS
+
+
 def test_batches_in_slices():
     """A whole batch is never turned into Python objects at once."""
     batch = pa.record_batch([pa.array([f"text {i}" for i in range(2500)])], names=["text"])
