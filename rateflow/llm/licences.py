@@ -2,20 +2,22 @@
 
 Paragraphs are the lines of a text, and runs of consecutive lines (up to the next line without
 words, long enough for any template) in which a template is wrapped. Features are word n-grams (one to three words) of the
-templates that hold at least one content word (a template word of which the sample's other
-paragraphs have next to none), so a paragraph without content words cannot be a licence and
+templates that hold at least one content word (a template word that the corpus' ordinary
+paragraphs hardly ever have), so a paragraph without content words cannot be a licence and
 is passed over in one array test. The others are classified by a multinomial logistic
 regression over sparse n-gram features, with a class for anything unknown, and a family
 counts only if its probability is above a threshold calibrated on paragraphs held out of the
 training. A predicted family is confirmed if the paragraph holds at least 0.8 of the
 five-word shingles of one of its templates (of the whole template, if that is shorter).
 
-Training uses the templates, alone and inside ordinary paragraphs, and at most
-``sample_rows`` ordinary paragraphs of the corpus, chosen by a hash; a paragraph with a
-five-word shingle of a template is not ordinary. All else covers every
-paragraph. Equal paragraphs are classified once, so a licence line shared by a third of all
-documents is one row. DataFrame functions and MLlib's DataFrame estimators only; what is
-collected is the vocabulary's size, the model and the threshold.
+Training uses the templates, alone and inside ordinary paragraphs, and every ordinary paragraph
+of the corpus: one with a word, that has neither a licence word nor a shingle of a template. Which
+words are content words, the model and the threshold thus come from all paragraphs. Paragraphs alike
+in all that the model sees are one training row with their number as its weight; all ordinary ones
+together weigh at most ``ORDINARY``, else a few templates would count for nothing in a large corpus.
+Equal paragraphs are classified once, so a licence line shared by a third of all documents is one row.
+DataFrame functions and MLlib's DataFrame estimators only; what is collected is the counts of the
+templates' words, the vocabulary, the model and the threshold.
 
 Defined cases: null and empty texts have no paragraphs; repeated rows get equal results; an
 empty table gives an empty result; a corpus without ordinary paragraphs is trained on the
@@ -24,6 +26,10 @@ templates and an empty paragraph; extra columns are kept unless they bear an out
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -47,12 +53,23 @@ TEMPLATES = {
     "proprietary": ["All rights reserved", "Copyright. All rights reserved", "No part of this publication may be reproduced without the prior written permission of the publisher"],
 }
 UNKNOWN = "unknown"
+#: Words by which a paragraph is not ordinary, whatever else it says.
+LICENCE_WORDS = ("license", "licensed", "copyright", "copyrighted")
+#: A word is a content word up to once in so many ordinary paragraphs.
+RARE = 2000
+#: Most that all ordinary paragraphs weigh in training, and what the wrapped forms of a template weigh.
+ORDINARY, WRAPPED = 1600.0, 7.0
+PENALTY = 0.002
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.+-]+|[.](?=\s|$)"), lambda w: w != "")
 
 
+def _strings(values) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
 def grams(words: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
     """Word n-grams of each size, joined by blanks."""
     def of(n: int) -> Column:
@@ -130,61 +147,100 @@ def _wrapped(docs: DataFrame, content: list[str], wanted: list[tuple[str, int, l
     return latest.filter("y.x.n > 1").select("_k", "y.at", "y.x.paragraph").distinct()
 
 
+def _ordinary(docs: DataFrame, wanted: list[tuple[str, int, list[str]]], use: Callable[[Column], list[Column]]) -> DataFrame:
+    """``h`` (a hash) and the columns that ``use`` makes of the words of each different ordinary paragraph."""
+    sizes = sorted({n for _, n, _ in wanted})
+    shingles = {n: sorted({x for _, m, xs in wanted if m == n for x in xs}) for n in sizes}
+    # a paragraph with a shingle has the shingle's longest word, which is quickly seen
+    longest = sorted({max(x.split(" "), key=len) for xs in shingles.values() for x in xs})
+
+    def licence_like(words: Column) -> Column:
+        held = reduce(Column.__or__, [F.arrays_overlap(grams(words, (n,)), _strings(shingles[n])) for n in sizes])
+        return F.arrays_overlap(words, _strings(LICENCE_WORDS)) | F.when(F.arrays_overlap(words, _strings(longest)), held).otherwise(F.lit(False))
+
+    def row(line: Column) -> Column:
+        return _once(words_of(line), lambda w: F.when((F.trim(line) != "") & ~licence_like(w), F.struct(F.xxhash64(line).alias("h"), *use(w))))
+
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    return docs.select(F.inline(F.filter(F.transform(lines, row), lambda r: r.isNotNull()))).distinct()
+
+
 class LicenceModel:
     """Content words, the fitted model, and the calibrated threshold."""
 
-    def __init__(self, docs: DataFrame, sample_rows: int = 2000, false_positives: float = 0.001):
+    def __init__(self, docs: DataFrame, false_positives: float = 0.001):
         spark = docs.sparkSession
         templates = _templates(spark)
-        # ordinary paragraphs: a hash sample of documents, whole; the last fifth is held out
-        every = max(1, docs.count() // (sample_rows // 4))
-        licence_like = F.arrays_overlap(words_of(F.col("paragraph")), F.array(*[F.lit(w) for w in ("license", "licensed", "copyright", "copyrighted")]))
         self.wanted = _wanted(spark)
-        for n in sorted({n for _, n, _ in self.wanted}):
-            shingles = F.array(*[F.lit(w) for w in sorted({w for _, m, ws in self.wanted if m == n for w in ws})])
-            licence_like = licence_like | _once(words_of(F.col("paragraph")), lambda w: F.arrays_overlap(grams(w, (n,)), shingles))
-        plain = _paragraphs(docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)).filter(
-            (F.trim("paragraph") != "") & ~licence_like).select("paragraph").distinct()
-        plain = written(plain.orderBy(F.xxhash64("paragraph")).limit(sample_rows).select(
-            words_of(F.col("paragraph")).alias("words"), F.pmod(F.xxhash64("paragraph"), F.lit(5)).alias("fold")), "plain")
-        common = [r.w for r in plain.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count().filter(
-            F.col("count") > 1).join(templates.select(F.explode("words").alias("w")).distinct(), "w").collect()]
-        self.content = sorted(r.w for r in templates.select(F.explode("words").alias("w")).distinct().collect() if r.w not in common)
-        # templates alone, and between the words of ordinary paragraphs
-        numbered = plain.filter("fold != 4").withColumn("n", F.pmod(F.xxhash64("words"), F.lit(7))).select("n", F.slice("words", 1, 12).alias("around"))
-        around = numbered.dropDuplicates(["n"])  # seven rows
-        inside = templates.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(6)))).join(around, "n", "left")
-        nothing = F.array().cast("array<string>")
-        positive = templates.select("family", "words").union(inside.select("family", F.concat(F.coalesce("around", nothing), "words", F.coalesce("around", nothing))))
-        rows = positive.union(plain.filter("fold != 4").select(F.lit(UNKNOWN), "words")).union(
-            # single content words out of place are no licence
-            spark.range(1).select(F.lit(UNKNOWN), F.explode(F.transform(F.array(*[F.lit(w) for w in self.content]), lambda w: F.array(w)))))
-        self.families = [UNKNOWN, *sorted(TEMPLATES)]
-        names = F.array(*[F.lit(f) for f in self.families])
-        train = rows.select((F.array_position(names, F.col("family")) - 1).cast("double").alias("label"), self._grams(F.col("words")).alias("grams"))
+        self.words = sorted(r.w for r in templates.select(F.explode("words").alias("w")).distinct().collect())
+        # ordinary paragraphs, and those with each template word
+        holding = _ordinary(docs, self.wanted, lambda w: [F.array_intersect(w, _strings(self.words)).alias("words")])
+        counts = {r.w: r["count"] for r in holding.select(F.explode(F.concat(_strings([""]), "words")).alias("w")).groupBy("w").count().collect()}
+        most = max(1, counts.get("", 0) / RARE)
+        self.content = [w for w in self.words if counts.get(w, 0) <= most]
         self.vectorizer = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(
             templates.select(self._grams(F.col("words")).alias("grams")))
-        self.model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60).fit(self.vectorizer.transform(train))
-        held = self._probabilities(plain.filter("fold = 4").select("words"))
+        # a row for all ordinary paragraphs alike; a fifth of the paragraphs is held out
+        plain = _ordinary(docs, self.wanted, lambda w: [self._seen(w).alias("grams"), self._around(w).alias("around")])
+        plain = written(plain.groupBy((F.pmod("h", F.lit(5)) == 4).alias("held"), "grams", "around").agg(F.count(F.lit(1)).alias("n")), "plain")
+        number = {r.held: r.n for r in plain.groupBy("held").agg(F.sum("n").alias("n")).collect()}
+        learnt = number.get(False, 0)
+        # templates alone, and between the words of each ordinary paragraph
+        around = plain.filter("not held").groupBy("around").agg(F.sum("n").alias("n")) if learnt else spark.range(1).select(_strings([]).alias("around"), F.lit(1).alias("n"))
+        inside = around.crossJoin(templates).select("family", self._seen(F.concat("around", "words", "around")).alias("grams"), "n")
+        ordinary = plain.filter("not held").groupBy("grams").agg(F.sum("n").alias("n"))
+        one = F.lit(1.0).alias("weight")
+        rows = templates.select("family", self._seen(F.col("words")).alias("grams"), one).union(
+            inside.groupBy("family", "grams").agg((F.sum("n") * (WRAPPED / max(learnt, 1))).alias("weight"))).union(
+            ordinary.select(F.lit(UNKNOWN), "grams", F.col("n") * min(1.0, ORDINARY / max(learnt, 1)))).union(
+            # single content words out of place are no licence
+            spark.range(1).select(F.explode(_strings(self.content)).alias("w")).select(F.lit(UNKNOWN), self._seen(F.array("w")), one))
+        self.families = [UNKNOWN, *sorted(TEMPLATES)]
+        train = written(rows.select((F.array_position(_strings(self.families), F.col("family")) - 1).cast("double").alias("label"), "grams", "weight"), "training")
+        # the features' deviations, to which the penalty is scaled, are larger by this for rows with weights than for as many single rows
+        total, squares = train.agg(F.sum("weight"), F.sum(F.col("weight") ** 2)).collect()[0]
+        self.model = LogisticRegression(family="multinomial", regParam=PENALTY * (total - squares / total) / (total - 1), maxIter=60, weightCol="weight").fit(
+            self.vectorizer.transform(train))
+        held = self._probabilities(plain.filter("held").groupBy("grams").agg(F.sum("n").alias("n")))
         best = F.array_max(F.slice("p", 2, len(self.families)))
-        far = held.agg(F.percentile_approx(best, 1 - false_positives, 10000).alias("x")).collect()[0].x
+        # the least probability that all but false_positives of them do not pass
+        last = number.get(True, 0) - 1
+        rank = math.ceil((1 - false_positives) * (last + 1)) - 1
+        far = held.agg(F.percentile(best, F.lit(rank / last if last > 0 else 1.0), F.col("n")).alias("x")).collect()[0].x
         self.threshold = max(0.5, far or 0.0)
 
+    def _seen(self, words: Column) -> Column:
+        """The n-grams of ``words`` that are features."""
+        vocabulary = _strings(self.vectorizer.vocabulary)
+        return _once(words, lambda w: F.when(self.candidates(w), F.array_sort(F.array_intersect(grams(w), vocabulary))).otherwise(_strings([])))
+
+    def _around(self, words: Column) -> Column:
+        """What a paragraph's first words add to the features of a template between them: template words in
+        their places, blanks for others. Without a content word, at most two words at an end count."""
+        near = F.transform(F.slice(words, 1, 12), lambda w: F.when(w.isin(self.words), w).otherwise(F.lit("")))
+        blank = _strings([""])
+
+        def ends(w: Column) -> Column:
+            first = F.when(F.get(w, F.lit(0)) == "", blank).otherwise(F.slice(w, 1, 2))
+            last = F.when(F.get(w, F.size(w) - 1) == "", blank).otherwise(F.slice(w, -2, 2))
+            return F.when(self.candidates(w) | (F.size(w) < 5), w).otherwise(F.concat(first, blank, last))
+
+        return _once(near, ends)
+
     def _grams(self, words: Column) -> Column:
-        content = F.array(*[F.lit(w) for w in self.content])
-        return F.filter(grams(words), lambda g: F.arrays_overlap(F.split(g, " "), content))
+        return F.filter(grams(words), lambda g: F.arrays_overlap(F.split(g, " "), _strings(self.content)))
 
     def _probabilities(self, rows: DataFrame) -> DataFrame:
-        features = self.vectorizer.transform(rows.withColumn("grams", self._grams(F.col("words"))))
-        return self.model.transform(features).withColumn("p", vector_to_array("probability"))
+        return self.model.transform(self.vectorizer.transform(rows)).withColumn("p", vector_to_array("probability"))
 
     def candidates(self, words: Column) -> Column:
         """Whether a paragraph can belong to a family at all."""
-        return F.arrays_overlap(words, F.array(*[F.lit(w) for w in self.content]))
+        return F.arrays_overlap(words, _strings(self.content))
 
     def classify(self, paragraphs: DataFrame) -> DataFrame:
         """``paragraph`` (distinct) with ``family``, ``probability`` and ``confirmed``."""
-        scored = self._probabilities(paragraphs.select("paragraph", words_of(F.col("paragraph")).alias("words")))
+        paragraphs = paragraphs.select("paragraph", words_of(F.col("paragraph")).alias("words"))
+        scored = self._probabilities(paragraphs.withColumn("grams", self._grams(F.col("words"))))
         names = F.array(*[F.lit(f) for f in self.families])
         best = F.array_max(F.slice("p", 2, len(self.families)))
         scored = scored.withColumn("probability", best).withColumn(
@@ -195,11 +251,11 @@ class LicenceModel:
         return scored.select("paragraph", "family", "probability", confirmed.alias("confirmed"))
 
 
-def scan(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with ``licence`` (the family of the first confirmed paragraph; null if none),
     ``n_confirmed`` and ``n_unconfirmed`` (paragraphs classed as a family; runs only if confirmed),
     ``licence_at`` (the first line of the first confirmed one, from 0)."""
-    model = LicenceModel(docs, sample_rows)
+    model = LicenceModel(docs)
     keyed = docs.withColumn("_k", doc_key())
     lines = written(_paragraphs(keyed, "_k").filter(model.candidates(words_of(F.col("paragraph")))).distinct(), "candidates")
     with_lines = keyed.select("_k", "text").join(lines.select("_k").distinct(), "_k", "left_semi")

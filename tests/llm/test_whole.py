@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 import rateflow.llm.near_dedup as N
 from rateflow.llm.common import sliced
-from rateflow.llm.licences import scan
+from rateflow.llm.licences import LicenceModel, scan
 from rateflow.llm.near_dedup import near_duplicates
 from rateflow.llm.neighbours import nearest
 from rateflow.llm.url_trust import propagate
@@ -131,3 +131,11 @@ def test_wrapped_licences(spark):
             (7, "Redistribution and use in source and\n\nbinary forms, with or without\n\nmodification, are permitted")]
     got = {r.doc_id: (r.licence, r.licence_at, r.n_confirmed) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("mit", 0, 1), 2: ("bsd", 2, 1), 3: ("gpl", 2, 1), 4: (None, None, 0), 5: ("mit", 0, 1), 6: ("mit", 1, 1), 7: (None, None, 0)}
+
+
+def test_licences_are_learnt_from_every_paragraph(spark):
+    """A template word that three of 3,000 paragraphs hold is ordinary, wherever these stand."""
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('line ', id, ' of plain text', if(id in (5, 6, 7), ' by a publisher', '')) as text")
+    model = LicenceModel(rows.repartition(4))
+    assert "publisher" not in model.content and "permission" in model.content
+    assert model.classify(spark.createDataFrame([("Released under the MIT License",), ("line 1 of plain text",)], "paragraph string")).filter("confirmed").count() == 1
