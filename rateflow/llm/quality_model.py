@@ -140,7 +140,8 @@ class QualityModel:
     def raw(self, stats: np.ndarray, model: int | np.ndarray = -1) -> np.ndarray:
         """Scores by one model, or by each row's own."""
         x = self.features(stats) / _UNIT
-        return x @ self.weights[model] if np.isscalar(model) else np.einsum("ij,ij->i", x, self.weights[model])
+        # no matrix product: its sums depend on a row's place in the batch
+        return np.einsum("ij,j->i" if np.isscalar(model) else "ij,ij->i", x, self.weights[model])
 
     def calibrated(self, raw: np.ndarray) -> np.ndarray:
         return np.interp(raw, self.at, self.to) if len(self.at) else np.full(len(raw), 0.5)
