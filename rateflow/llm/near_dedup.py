@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rateflow.llm.common import sliced, written
 from rateflow.llm.components import components
-from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
+from rateflow.llm.shingles import ROUNDING, probability_jaccard, shingles, word_hashes
 
 BANDS, ROWS = 20, 5
 LEADERS = 2
@@ -144,7 +144,7 @@ def _shares(batches):
 def _verify(threshold: float):
     def run(batches):
         for batch in sliced(batches):
-            same = [probability_jaccard(_weighted(x), _weighted(y), threshold) >= threshold for x, y in zip(
+            same = [probability_jaccard(_weighted(x), _weighted(y), threshold) >= threshold - ROUNDING for x, y in zip(
                 batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
 
@@ -206,11 +206,11 @@ def _met(threshold: float):
             n = hi - lo
             at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
             common = np.bincount(owner[at], np.minimum(shares[at], np.repeat(count / count.sum(), n)), minlength=len(left))
-            for x in np.flatnonzero(common >= threshold - 1e-9):
+            for x in np.flatnonzero(common >= threshold - ROUNDING):
                 other = left[x]
                 if (i == j and other >= k) or root(int(label[other])) == root(int(label[k])):
                     continue
-                if probability_jaccard(sets[other], sets[k], threshold) >= threshold:
+                if probability_jaccard(sets[other], sets[k], threshold) >= threshold - ROUNDING:
                     found.append((min(node[other], node[k]), max(node[other], node[k])))
                     top[root(int(label[other]))] = root(int(label[k]))
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
@@ -234,7 +234,7 @@ def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, threshold: flo
     before = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
     prefix = parts.join(seen, "shingle").withColumn("before", F.coalesce(F.sum("part").over(before), F.lit(0.0)))
     # a margin for the sums' rounding
-    prefix = written(prefix.filter((F.col("before") <= 1 - threshold + 1e-9) & (F.col("n") > 1)).select("shingle", "node", "label"), "prefixes")
+    prefix = written(prefix.filter((F.col("before") <= 1 - threshold + ROUNDING) & (F.col("n") > 1)).select("shingle", "node", "label"), "prefixes")
     several = prefix.groupBy("shingle").agg(F.min("node").alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     together = prefix.join(several.select("shingle", "first"), "shingle").filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     families = components(together.distinct()).select("node", F.col("label").alias("family"))

@@ -8,6 +8,8 @@ import numpy as np
 import xxhash
 
 WORDS = 5
+#: Values this near below a threshold are at it: the sums' last digits depend on which set comes first.
+ROUNDING = 1e-9
 _WORD = re.compile(r"\w+")
 _MIX = [np.uint64(int(x) | 1) for x in np.random.default_rng(3).integers(1 << 40, 1 << 62, WORDS)]
 
@@ -56,7 +58,7 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
     at = np.minimum(np.searchsorted(y[0], x[0]), len(y[0]) - 1)
     both = y[0][at] == x[0]
     mine, theirs = a[both], b[at[both]]
-    if np.minimum(mine, theirs).sum() < at_least:  # a bound: each sum over e is 1 / min at least
+    if np.minimum(mine, theirs).sum() < at_least - ROUNDING:  # a bound: each sum over e is 1 / min at least
         return 0.0
     # sum over e of max(a_e, t * b_e) at each common ratio t, by sums over sorted ratios
     alone = np.ones(len(b), bool)

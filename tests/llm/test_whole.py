@@ -40,6 +40,16 @@ def test_leaders_of_a_large_group(spark):
     assert len(chosen) == 20 and len({tuple(r.others) for r in chosen}) == 1 and len(chosen[0].others) == N.LEADERS
 
 
+def test_links_at_the_threshold():
+    """Four fifths of a text's shingles are 0.8 alike to it, whichever comes first."""
+    for n in range(1, 60):
+        y = np.arange(5 * n, dtype=np.uint64), np.ones(5 * n, np.int64)
+        x = y[0][:4 * n], y[1][:4 * n]
+        rows = [pa.table({"i": [0, 0], "j": [0, 0], "block": [0, 0], "node": [1, 2], "label": [1, 2],
+                          "hashes": [s[0].tobytes() for s in p], "counts": [s[1].tobytes() for s in p]}) for p in ((x, y), (y, x))]
+        assert [N._met(0.8)(r).num_rows for r in rows] == [1, 1]
+
+
 def test_batches_in_slices():
     """A whole batch is never turned into Python objects at once."""
     batch = pa.record_batch([pa.array([f"text {i}" for i in range(2500)])], names=["text"])
