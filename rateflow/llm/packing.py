@@ -6,6 +6,9 @@ table), and each group is packed longest first: a segment tree indexed by remain
 finds the tightest open sequence in log(window) steps. The groups' last, partly empty
 sequences are the price of packing them apart; at thousands of pieces a group it is small.
 
+The pieces' ids are what the shuffle moves, so a piece travels in 16 bits an id if all of its
+ids fit, and in 32 if not; the groups give all of them back in 32.
+
 Defined cases: null text is empty, so the document is its end id alone; rows that repeat a
 document are packed once each; an empty table gives an empty result; extra columns are not
 carried. Any integer ``doc_id`` may be null.
@@ -136,6 +139,17 @@ def byte_letters() -> dict[int, str]:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def narrowed(ids: bytes) -> bytes:
+    """32-bit ids in 16 bits each, if all of them fit."""
+    wide = np.frombuffer(ids, "<u4")
+    return wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else ids
+
+
+def widened(ids: bytes, length: int) -> bytes:
+    """The 32-bit ids of a piece of ``length`` ids."""
+    return ids if len(ids) == 4 * length else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
 _PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
@@ -158,7 +172,7 @@ def _pieces(path: str, end_id: int, window: int):
                 for start in range(0, n, window):
                     length = min(window, n - start)
                     # windows of a long document and repeated rows go to different groups
-                    out.append((doc, start, length, n, ids[start * 4:(start + length) * 4], key ^ (start * 0x9E3779B1 + row)))
+                    out.append((doc, start, length, n, narrowed(ids[start * 4:(start + length) * 4]), key ^ (start * 0x9E3779B1 + row)))
                 size += len(ids)
                 if size > 8_000_000:
                     yield rows(out)
@@ -175,7 +189,10 @@ def _pack_group(window: int):
         pieces = pieces.sort_by([("key", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
         group, lengths = pieces["group"][0].as_py(), pieces["length"].to_pylist()
         sequence, offset = best_fit_decreasing(lengths, window)
-        return pieces.drop_columns(["group", "key"]).append_column(
+        ids = pa.chunked_array([
+            pa.array([widened(i, n) for i, n in zip(*(c.to_pylist() for c in rows.columns), strict=True)], pa.binary())
+            for rows in sliced(pieces.select(["ids", "length"]).to_batches())])
+        return pieces.set_column(pieces.column_names.index("ids"), "ids", ids).drop_columns(["group", "key"]).append_column(
             "sequence_id", pa.array([group << 32 | s for s in sequence], pa.int64())).append_column(
             "offset", pa.array(offset, pa.int64()))
 

@@ -17,7 +17,7 @@ from rateflow.llm.language_id import identify
 from rateflow.llm.licences import scan
 from rateflow.llm.mixing import bisect_exponent, mix, quotas
 from rateflow.llm.near_dedup import near_duplicates, signatures
-from rateflow.llm.packing import WordEncoder, best_fit_decreasing, pack
+from rateflow.llm.packing import WordEncoder, _pieces, best_fit_decreasing, narrowed, pack, widened
 from rateflow.llm.quality import cascade
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
@@ -112,6 +112,33 @@ def test_packing_of_odd_rows(odd, none):
     assert max(r.length for r in rows) == 64
 
 
+def test_pieces_travel_in_16_bits():
+    import pyarrow as pa
+
+    text = "It's a plain line, and one more. " * 40
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "key": [5, 6], "text": [text, ""]})
+    ids = [WordEncoder(PATH).ids(t) + np.array([end], "<u4").tobytes() for t, end in ((text, 2), ("", 2), (text, 70_000))]
+    rows = pa.Table.from_batches(_pieces(PATH, 2, 64)([docs])).to_pylist()
+    assert {len(r["ids"]) / r["length"] for r in rows} == {2}
+    for key in (1, 2):
+        assert b"".join(widened(r["ids"], r["length"]) for r in rows if r["doc_id"] == key) == ids[key - 1]
+    # ids beyond 16 bits stay as they are, in the pieces that hold them
+    rows = pa.Table.from_batches(_pieces(PATH, 70_000, 64)([docs.slice(0, 1)])).to_pylist()
+    assert [len(r["ids"]) // r["length"] for r in rows] == [2] * (len(rows) - 1) + [4] and len(rows) > 2
+    assert b"".join(widened(r["ids"], r["length"]) for r in rows) == ids[2]
+    edge = [np.array(x, "<u4").tobytes() for x in ([65_535, 0], [65_536, 0])]
+    assert [len(narrowed(x)) for x in edge] == [4, 8] and [widened(narrowed(x), 2) for x in edge] == edge
+
+
+@pytest.mark.parametrize("end", [2, 65_535, 65_536, 70_000])
+def test_packing_gives_32_bit_ids(odd, end):
+    encoder, last, want = WordEncoder(PATH), np.array([end], "<u4").tobytes(), Counter()
+    for r in odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect():
+        ids = encoder.ids(r.text) + last
+        want.update((r.doc_id, at // 4, ids[at:at + 256]) for at in range(0, len(ids), 256))
+    assert Counter((r.doc_id, r.start, bytes(r.ids)) for r in pack(odd, PATH, end, 64).collect()) == want
+
+
 def test_words_encode_as_the_tokenizer_does(odd):
     encoder = WordEncoder(PATH)
     extra = ["It's we'll DON'T 12345 a_b c++ ½ µm ÀÉß\u00a0x\u0085y", "Ünï\u0301code ẞ İ Σς ﬁ <|endoftext|> x", "a\x1cb\tc\r\nd"]
