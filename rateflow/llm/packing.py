@@ -17,17 +17,21 @@ carried. Any integer ``doc_id`` may be null.
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.llm.common import doc_key, sliced
 
-#: Words remembered per Python worker; beyond it the memory starts anew.
+#: Pieces remembered per Python worker; beyond it the memory starts anew.
 WORDS_KEPT = 600_000
+#: Characters of the texts that are encoded together.
+TOGETHER = 4_000_000
 
 
 class CapacityTree:
@@ -83,15 +87,17 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
 
 
 class WordEncoder(dict):
-    """Ids (little-endian 32-bit) of texts, word by word, each distinct piece encoded once.
+    """Ids (little-endian 32-bit) of texts, each distinct piece of a word encoded once and, among
+    texts encoded together, looked up once.
 
-    The vocabulary drops white space and never joins ids across it, so a text's ids are its
-    words' ids in turn. That holds as used here for Latin-1 texts, where lower-casing and
-    composing are done character by character; any other text goes to the tokenizer whole."""
+    The vocabulary drops white space and never joins ids across it or across the pieces of a word,
+    so a text's ids are its pieces' ids in turn. That holds as used here for Latin-1 texts, where
+    lower-casing and composing are done character by character; any other text goes to the
+    tokenizer whole."""
 
-    #: Fixed value: the tokenizer file's split pattern.
-    PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    #: Python takes these for white space, the pattern doesn't.
+    #: Fixed value: the tokenizer file's split pattern, without its letter runs, which are what is left between the others.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\v\x{85}\x{a0}\p{L}\p{N}]+"
+    #: Python and Arrow take these for white space, the pattern doesn't.
     ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str):
@@ -102,30 +108,37 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.letters = byte_letters()
 
-    def __missing__(self, word: str) -> bytes:
-        if word.isalpha():
-            return self._piece(word)
-        # most other words are letters with a mark behind; only their pieces are kept
-        pieces = [word[:-1], word[-1]] if word[:-1].isalpha() and word[-1] in ".,!?;:" else self.PATTERN.findall(word)
-        return b"".join([self.get(p) or self._piece(p) for p in pieces])
-
-    def _piece(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
         found = self[piece] = array("I", [t.id for t in tokens]).tobytes()
         return found
 
-    def ids(self, text: str) -> bytes:
-        if len(self) > WORDS_KEPT:
-            self.clear()
+    def by_piece(self, text: str) -> bool:
+        """Whether a text's ids are its pieces' ids."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            whole = True
-        else:
-            whole = any(c in text for c in self.ODD_SPACE) or "<|" in text
-        if whole:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.lower().split()))
+            return False
+        return not any(c in text for c in self.ODD_SPACE) and "<|" not in text
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        cut = [self.by_piece(t) for t in texts]
+        lowered = pa.array([t.lower() if c else "" for t, c in zip(texts, cut, strict=True)], pa.large_string())
+        pieces = pc.utf8_split_whitespace(pc.replace_substring_regex(lowered, self.PATTERN, r" \0 "))
+        coded = pieces.flatten().dictionary_encode()
+        known = [self[p] for p in coded.dictionary.to_numpy(zero_copy_only=False)]
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids))])[pieces.offsets.to_numpy()]
+        joined = ids.buffers()[2] or b""
+        return [
+            bytes(joined[lo:hi]) if c else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t, c, lo, hi in zip(texts, cut, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def ids(self, text: str) -> bytes:
+        return self.encode([text])[0]
 
 
 def byte_letters() -> dict[int, str]:
@@ -139,6 +152,16 @@ def byte_letters() -> dict[int, str]:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def together(texts: list[str], most: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """Ranges of texts, in turn, that have about ``most`` characters each; a longer text is in its range the last."""
+    lo = size = 0
+    for hi, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= most or hi == len(texts):
+            yield lo, hi
+            lo, size = hi, 0
+
+
 def narrowed(ids: bytes) -> bytes:
     """32-bit ids in 16 bits each, if all of them fit."""
     wide = np.frombuffer(ids, "<u4")
@@ -166,8 +189,10 @@ def _pieces(path: str, end_id: int, window: int):
         for batch in sliced(batches):
             out: list[tuple] = []
             size = 0
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, row = encoder.ids(text) + end, row + 1
+            docs, keys, texts = (c.to_pylist() for c in batch.columns)
+            found = chain.from_iterable(encoder.encode(texts[lo:hi]) for lo, hi in together(texts))
+            for doc, key, ids in zip(docs, keys, found, strict=True):
+                ids, row = ids + end, row + 1
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     length = min(window, n - start)

@@ -17,7 +17,7 @@ from rateflow.llm.language_id import identify
 from rateflow.llm.licences import scan
 from rateflow.llm.mixing import bisect_exponent, mix, quotas
 from rateflow.llm.near_dedup import near_duplicates, signatures
-from rateflow.llm.packing import WordEncoder, _pieces, best_fit_decreasing, narrowed, pack, widened
+from rateflow.llm.packing import WordEncoder, _pieces, best_fit_decreasing, narrowed, pack, together, widened
 from rateflow.llm.quality import cascade
 from rateflow.llm.sharding import jump_shards
 from rateflow.llm.shingles import probability_jaccard, shingles, word_hashes
@@ -147,6 +147,29 @@ def test_words_encode_as_the_tokenizer_does(odd):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want, text[:40]
 
 
+def test_texts_encoded_together_equal_the_tokenizer():
+    encoder, letters = WordEncoder(PATH), [chr(i) for i in range(256)]
+    texts = ["", " ", "日本 x", *(f"{a}{b}'{b} x{a}" for a in letters for b in "a'!1 \xa0é" + a), "it's!'s ...a.b 12½a '' 'RE \x0b\x85 "]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want and encoder.encode([]) == [] and encoder.encode([""]) == [b""]
+    sizes = [3, 9, 25, 0, 2, 2, 2, 2, 2, 1]
+    assert list(together(["x" * n for n in sizes], 10)) == [(0, 2), (2, 3), (3, 9), (9, 10)] and list(together([])) == []
+
+
+def test_each_piece_is_looked_up_once():
+    class Counting(WordEncoder):
+        calls = 0
+
+        def __missing__(self, piece):
+            self.calls += 1
+            return super().__missing__(piece)
+
+    encoder, text = Counting(PATH), "One, two. three!! (four), it's " * 1000
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+    assert encoder.calls < 20  # words with a mark were put together anew each time they came
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 100, 400).tolist()
